@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The column functions in ``lodestat.functions`` are row-wise and run no action,
+so they apply unchanged to a streaming DataFrame (see tests/test_streaming.py).
+"""
