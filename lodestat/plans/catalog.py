@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodestat.functions import features as fx, parse
-from lodestat.operators import charts, clean, columns, encode, enrich, nearby, profile
-from lodestat.plans import listings as pl
+from lodestat.functions.hashing import fold_of, pick
+from lodestat.operators import (
+    charts, clean, cluster, columns, encode, enrich, metrics, mlp, nearby, profile, search)
+from lodestat.plans import eda, listings as pl, pricing, segmentation
+from lodestat.session import settle
 from lodestat.sources.fixtures import table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -439,3 +444,209 @@ def encode_matrix(spark, sf):
     out = encoder.transform(test.select(*keep))
     names = [f"f{i}" for i in range(len(encoder.feature_names))]
     return out.select("id", *[F.round(F.col("features")[i], 6).alias(n) for i, n in enumerate(names)], "y")
+
+
+# --- embeddings: scaling, clusters, projections ---------------------------------------------
+
+SIZE = 64
+DIMS = [f"d{i}" for i in range(SIZE)]
+
+
+def _embeddings(spark, sf):
+    return table(spark, sf, "embeddings").select(
+        "vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+
+
+def _scaled_embeddings(spark, sf):
+    wide = _embeddings(spark, sf).select("vec_id", "label", *[F.col("x")[i].alias(d) for i, d in enumerate(DIMS)])
+    return encode.standard_scale(wide, DIMS)
+
+
+@query
+def standard_scale(spark, sf):
+    return rounded(_scaled_embeddings(spark, sf).drop("label"), 6, *DIMS)
+
+
+@query
+def kmeans_assign(spark, sf):
+    df = _embeddings(spark, sf)
+    out = cluster.assign_nearest(df, cluster.group_centres(df, "label", "x", SIZE), "x")
+    return rounded(out.select("vec_id", "cluster", "distance"), 6, "distance")
+
+
+@query
+def kmeans_inertia(spark, sf):
+    df = _embeddings(spark, sf)
+    out = cluster.assign_nearest(df, cluster.group_centres(df, "label", "x", SIZE), "x")
+    return out.agg(F.round(F.sum("distance"), 4).alias("inertia"), F.count(F.lit(1)).alias("n"))
+
+
+@query
+def silhouette_exact(spark, sf):
+    out = cluster.silhouette_exact(_embeddings(spark, sf), "vec_id", "x", "label")
+    return rounded(out, 6, "a", "b", "silhouette")
+
+
+@query
+def silhouette_squared(spark, sf):
+    df = cluster.with_vector(_embeddings(spark, sf).select(
+        "label", *[F.col("x")[i].alias(d) for i, d in enumerate(DIMS)]), DIMS)
+    return rounded(cluster.silhouette_squared(df, cluster="label"), 6, "silhouette_squared")
+
+
+def _clustered_listings(spark, sf):
+    df = pl.clean_listings(view(spark, sf, "listings"))
+    df = nearby.count_within(df, view(spark, sf, "stations"), 1.0, "stations_within_1km")
+    return pl.eda_features(df)
+
+
+SEGMENT_COLUMNS = ["log_price", "value_score", "accommodates", "central_score"]
+
+
+@query
+def segment_labels(spark, sf):
+    df = _clustered_listings(spark, sf)
+    labelled, _ = cluster.segment_rows(df, "room_type", SEGMENT_COLUMNS)
+    return rounded(labelled, 6, *SEGMENT_COLUMNS)
+
+
+@query
+def segment_counts(spark, sf):
+    df = _clustered_listings(spark, sf).select("id", "room_type", *SEGMENT_COLUMNS)
+    _, rows = cluster.segment_rows(df, "room_type", SEGMENT_COLUMNS)
+    return cluster.segment_counts(rows)
+
+
+def _points(spark, sf):
+    return cluster.with_vector(_scaled_embeddings(spark, sf), DIMS).select("vec_id", "features")
+
+
+@query
+def pca_ratios(spark, sf):
+    return cluster.pca_ratios(_points(spark, sf), SIZE)
+
+
+@query
+def pca_projection(spark, sf):
+    return cluster.pca_project(_points(spark, sf)).drop("features")
+
+
+@query
+def kmeans_elbow(spark, sf):
+    return cluster.kmeans_elbow(_points(spark, sf))
+
+
+@query
+def segmentation_report(spark, sf):
+    report = segmentation.segmentation_report(pl.clean_listings(view(spark, sf, "listings")), restarts=2, ks=(2, 3, 4))
+    return report["segmented"]
+
+
+# --- models ---------------------------------------------------------------------------------
+
+def fixed_network(size: int = SIZE, hidden: int = 4) -> mlp.MLPModel:
+    """A small network with weights set by a formula, for checking the forward pass."""
+    w1 = [[((i * 7 + j * 13) % 11 - 5) / 8 for j in range(hidden)] for i in range(size)]
+    b1 = [(j - 1) / 4 for j in range(hidden)]
+    w2 = [(j + 1) / 2 for j in range(hidden)]
+    flat = np.array([w for row in w1 for w in row] + b1 + w2 + [0.25])
+    return mlp.MLPModel(mlp.MLPParams((hidden,)), [size, hidden, 1], flat, np.zeros(size), np.ones(size))
+
+
+@query
+def mlp_predict(spark, sf):
+    out = fixed_network().transform(_embeddings(spark, sf), "x")
+    return rounded(out.select("vec_id", "prediction"), 6, "prediction")
+
+
+@query
+def param_grid(spark, sf):
+    """The full grid with the events that a hash assigns to each combination."""
+    size = search.grid_size(search.WIDE_SPACE)
+    scored = table(spark, sf, "events").groupBy(pick("event_id", size, "grid").alias("trial")).agg(
+        F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("score"))
+    return rounded(search.param_grid(spark, search.WIDE_SPACE).join(scored, "trial"), 6, "score")
+
+
+@query
+def param_sample(spark, sf):
+    """One draw of every parameter per user of the events table."""
+    users = table(spark, sf, "events").select("user_id").distinct()
+    return search.param_sample(users, "user_id", search.SPACE)
+
+
+def _trial_predictions(spark, sf):
+    return table(spark, sf, "events").select(
+        pick("user_id", 24, "trial").alias("trial"), fold_of("event_id", 4).alias("fold"),
+        F.log1p("value").alias("y"), (F.log1p("value") * 0.9 + F.col("user_id") * 0.001).alias("prediction"))
+
+
+@query
+def cv_scores(spark, sf):
+    return rounded(search.cv_scores(_trial_predictions(spark, sf)), 6, "rmse_mean", "rmse_std", "mae_mean")
+
+
+@query
+def best_trial(spark, sf):
+    return rounded(search.best_trial(search.cv_scores(_trial_predictions(spark, sf))), 6, "rmse_mean")
+
+
+@query
+def halving_rungs(spark, sf):
+    rung = F.array(*[F.lit(r) for r in search.RUNGS])[pick("event_id", len(search.RUNGS), "rung")]
+    scores = table(spark, sf, "events").groupBy(
+        pick("user_id", 64, "trial").alias("trial"), rung.alias("rung")).agg(F.avg("value").alias("score"))
+    return rounded(search.halving(scores), 6, "score")
+
+
+def _predictions(spark, sf, factor):
+    return table(spark, sf, "lineitem").select(
+        F.log1p("l_extendedprice").alias("y"),
+        F.log1p(F.col("l_quantity") * factor * (1 + F.col("l_tax"))).alias("prediction"))
+
+
+SCORES = ["rmse_log", "mae_log", "r2_log", "rmse_real", "mae_real", "r2_real"]
+
+
+@query
+def regression_metrics(spark, sf):
+    return rounded(metrics.regression_metrics(_predictions(spark, sf, 2000.0)), 4, *SCORES)
+
+
+@query
+def leaderboard(spark, sf):
+    rows = [metrics.leaderboard_row(f"factor {f}", metrics.regression_metrics(_predictions(spark, sf, float(f))),
+                                    {"factor": f}) for f in (1000, 2000, 3000)]
+    nothing = _predictions(spark, sf, 1.0).where("y < 0")
+    rows.append(metrics.leaderboard_row("no rows", metrics.regression_metrics(nothing), {}))
+    return rounded(metrics.leaderboard(rows).drop("elapsed_seconds"), 4, *SCORES)
+
+
+@query
+def mlp_train_eval(spark, sf):
+    """Cross-validated random search on the embeddings, refit and held-out scores."""
+    df = _embeddings(spark, sf).select("vec_id", F.col("x").alias("features"), F.col("label").cast("double").alias("y"))
+    train, test = encode.split(df, "vec_id")
+    run = pricing.search_and_refit(train, test, pricing.random_trials(spark, 3), "vec_id", max_epochs=12)
+    return run.metrics
+
+
+@query
+def price_model_run(spark, sf):
+    """Random and grid search on the enriched listings, as a leaderboard."""
+    parts = [view(spark, sf, n) for n in
+             ("listings", "calendar", "crime", "stations", "tourist_spots", "income_house")]
+    enriched = settle(pl.cleanse_for_model(pl.enrich_listings(*parts)))
+    small = {**search.SPACE, "hidden": ["32"], "activation": ["relu"], "alpha": [0.0001]}
+    return pricing.price_model_run(enriched, trials=3, grid=small, grid_folds=3, max_epochs=8)
+
+
+@query
+def eda_pack(spark, sf):
+    """Rows in every table of the presentation pack."""
+    parts = [view(spark, sf, n) for n in
+             ("listings", "calendar", "crime", "stations", "tourist_spots", "income_house")]
+    enriched = settle(pl.cleanse_for_model(pl.enrich_listings(*parts)))
+    pack = eda.eda_pack(enriched)
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n_rows")) for name, df in pack.items()])

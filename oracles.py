@@ -386,3 +386,114 @@ SELECT id, CAST(accommodates AS DOUBLE) AS f0, bathrooms AS f1,
   round(coalesce(share, 0), 6) AS f3, """ + ", ".join(
     f"CASE WHEN room_type = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS f{i + 4}" for i, v in enumerate(HOT)
 ) + ", price AS y FROM sides LEFT JOIN t USING (property_type) WHERE is_test"
+
+
+SIZE = 64
+ORACLES["standard_scale"] = "SELECT vec_id, " + ", ".join(
+    f"round((x[{i + 1}] - avg(x[{i + 1}]) OVER ()) / stddev_pop(x[{i + 1}]) OVER (), 6) AS d{i}" for i in range(SIZE)
+) + " FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)"
+NEAREST = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+c AS (SELECT label, list(m ORDER BY i) AS x FROM
+  (SELECT label, i, avg(v) AS m FROM (SELECT label, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM e)
+   GROUP BY label, i) GROUP BY label),
+n AS (SELECT e.vec_id, c.label AS cluster, pow(list_distance(e.x, c.x), 2) AS distance FROM e, c
+  QUALIFY row_number() OVER (PARTITION BY e.vec_id ORDER BY distance, c.label) = 1)"""
+ORACLES["kmeans_assign"] = f"{NEAREST} SELECT vec_id, cluster, round(distance, 6) AS distance FROM n"
+ORACLES["kmeans_inertia"] = f"{NEAREST} SELECT round(sum(distance), 4) AS inertia, count(*) AS n FROM n"
+
+
+def _silhouette(dist: str) -> str:
+    return f"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+d AS (SELECT p.vec_id, p.label, q.label AS near, sum({dist}) AS total, count(*) AS size
+  FROM e p, e q GROUP BY ALL),
+m AS (SELECT vec_id, label, max(CASE WHEN near = label AND size > 1 THEN total / (size - 1) END) AS a,
+  min(CASE WHEN near <> label THEN total / size END) AS b FROM d GROUP BY ALL),
+s AS (SELECT *, CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END AS silhouette FROM m)"""
+
+
+ORACLES["silhouette_exact"] = f"""{_silhouette('list_distance(p.x, q.x)')}
+SELECT vec_id, CAST(label AS VARCHAR) AS cluster, round(a, 6) AS a, round(b, 6) AS b,
+  round(silhouette, 6) AS silhouette FROM s"""
+ORACLES["silhouette_squared"] = f"""{_silhouette('pow(list_distance(p.x, q.x), 2)')}
+SELECT round(avg(silhouette), 6) AS silhouette_squared FROM s"""
+
+SEGMENTS = f"""{with_views('listings', 'stations')}, {BASE}, {CLEAN},
+near AS (SELECT l.id, count(*) AS n FROM clean l JOIN stations s ON {distance('l', 's')} <= 1 GROUP BY 1),
+f AS (SELECT id, room_type, ln(1 + price) AS log_price, review_scores_rating / (price + 1) AS value_score, accommodates,
+  coalesce(n, 0) * 0.5 AS central_score FROM clean LEFT JOIN near USING (id)),
+p AS (SELECT room_type, avg(log_price) AS log_price, avg(value_score) AS value_score,
+  avg(accommodates) AS accommodates, avg(central_score) AS central_score FROM f GROUP BY 1),
+m AS (SELECT median(central_score) AS c, median(value_score) AS v, median(accommodates) AS a FROM p),
+labelled AS (SELECT p.*, CASE WHEN central_score > c THEN 'Premium Central' WHEN value_score > v THEN 'High Value'
+  WHEN accommodates > a THEN 'Large Group Premium' ELSE 'Mid-Range' END AS segment FROM p, m)"""
+ORACLES["segment_labels"] = f"""{SEGMENTS} SELECT room_type, round(log_price, 6) AS log_price,
+  round(value_score, 6) AS value_score, round(accommodates, 6) AS accommodates,
+  round(central_score, 6) AS central_score, segment FROM labelled"""
+ORACLES["segment_counts"] = f"""{SEGMENTS} SELECT segment, count(*) AS n FROM f JOIN labelled USING (room_type)
+GROUP BY 1"""
+
+
+def _hidden(j: int, hidden: int = 4) -> str:
+    terms = " + ".join(f"x[{i + 1}] * ({((i * 7 + j * 13) % 11 - 5) / 8}::DOUBLE)" for i in range(SIZE))
+    return f"{(j + 1) / 2}::DOUBLE * greatest(0::DOUBLE, {terms} + ({(j - 1) / 4}::DOUBLE))"
+
+
+ORACLES["mlp_predict"] = "SELECT vec_id, round(" + " + ".join(_hidden(j) for j in range(4)) + """ + 0.25::DOUBLE, 6)
+  AS prediction FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)"""
+
+
+def picked(key: str, n: int, seed: str) -> str:
+    return f"CAST(floor({unit(key, seed)} * {n}) AS INTEGER)"
+
+
+WIDE = [("hidden", ["32", "64", "64,32", "128,64"]), ("activation", ["relu", "tanh"]), ("alpha", [0.0001, 0.001]),
+        ("learning_rate", [0.001, 0.005, 0.01]), ("batch_size", [32, 64])]
+SPACE = [("hidden", ["32", "64", "64,32"]), ("activation", ["relu", "tanh"]), ("alpha", [0.0001, 0.001]),
+         ("learning_rate", [0.001, 0.005]), ("batch_size", [32, 64])]
+
+
+def _values(options: list) -> str:
+    return "[" + ", ".join(f"'{v}'" if isinstance(v, str) else f"{v}::DOUBLE" if isinstance(v, float) else str(v)
+                           for v in options) + "]"
+
+
+GRID = "grid AS (SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS trial, * FROM (SELECT " + ", ".join(
+    n for n, _ in WIDE) + " FROM " + ", ".join(
+    f"(SELECT unnest({_values(v)}) AS {n}, generate_subscripts({_values(v)}, 1) AS k{i})"
+    for i, (n, v) in enumerate(WIDE)) + " ORDER BY k0, k1, k2, k3, k4))"
+ORACLES["param_grid"] = f"""WITH {GRID},
+s AS (SELECT {picked('event_id', 96, 'grid')} AS trial, count(*) AS n_events, round(avg(value), 6) AS score
+  FROM events GROUP BY 1)
+SELECT * FROM grid JOIN s USING (trial)"""
+ORACLES["param_sample"] = "SELECT user_id, " + ", ".join(
+    f"({_values(v)})[{picked('user_id', len(v), '42:' + n)} + 1] AS {n}" for n, v in SPACE
+) + " FROM (SELECT DISTINCT user_id FROM events)"
+CV = f"""WITH p AS (SELECT {picked('user_id', 24, 'trial')} AS trial, {picked('event_id', 4, '42:fold')} AS fold,
+  ln(1 + value) * 0.9 + user_id * 0.001 - ln(1 + value) AS e FROM events),
+f AS (SELECT trial, fold, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae FROM p GROUP BY 1, 2),
+c AS (SELECT trial, round(avg(rmse), 6) AS rmse_mean, round(stddev_pop(rmse), 6) AS rmse_std,
+  round(avg(mae), 6) AS mae_mean, count(*) AS folds FROM f GROUP BY 1)"""
+ORACLES["cv_scores"] = f"{CV} SELECT * FROM c"
+ORACLES["best_trial"] = f"{CV} SELECT trial, rmse_mean FROM c ORDER BY rmse_mean, trial LIMIT 1"
+RUNGS = [10, 20, 40, 80, 160]
+ORACLES["halving_rungs"] = f"""WITH s AS (SELECT {picked('user_id', 64, 'trial')} AS trial,
+  ([10, 20, 40, 80, 160])[{picked('event_id', 5, 'rung')} + 1] AS rung, avg(value) AS score FROM events GROUP BY 1, 2)
+""" + "".join(f""", r{k} AS (SELECT *, row_number() OVER (ORDER BY score, trial) AS place, count(*) OVER () AS n
+  FROM s WHERE rung = {r}{f" AND trial IN (SELECT trial FROM r{k - 1} WHERE place <= greatest(1, n // 2))" if k else ""})
+""" for k, r in enumerate(RUNGS)) + " UNION ALL ".join(
+    f"SELECT trial, rung, round(score, 6) AS score, CAST(place AS INTEGER) AS place, "
+    f"CAST(place <= greatest(1, n // 2) AS INTEGER) AS kept FROM r{k}" for k in range(5))
+
+
+def _metrics(factor: int) -> str:
+    def part(y: str, p: str, s: str) -> str:
+        return (f"round(sqrt(avg(pow({p} - {y}, 2))), 4) AS rmse_{s}, round(avg(abs({p} - {y})), 4) AS mae_{s}, "
+                f"round(1 - sum(pow({p} - {y}, 2)) / (var_pop({y}) * count(*)), 4) AS r2_{s}")
+    return f"""{part('y', 'p', 'log')}, {part('(exp(y) - 1)', '(exp(p) - 1)', 'real')}
+FROM (SELECT ln(1 + l_extendedprice) AS y, ln(1 + l_quantity * {factor} * (1 + l_tax)) AS p FROM lineitem)"""
+
+
+ORACLES["regression_metrics"] = f"SELECT {_metrics(2000)}"
+ORACLES["leaderboard"] = " UNION ALL ".join(
+    f"SELECT 'factor {f}' AS model, '{{\"factor\": {f}}}' AS best_params, {_metrics(f)}" for f in (1000, 2000, 3000)
+) + """ UNION ALL SELECT 'no rows', '{}', NULL, NULL, NULL, NULL, NULL, NULL"""
