@@ -1 +1,9 @@
 """lodestat: listing-price analytics as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job by value, so the
+# executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestat.functions.features import cap
 from lodestat.functions.parse import nan_to_null
+from lodestat.operators.profile import distinct_counts
 from lodestat.operators.quantiles import column_quantiles, quantiles, to_long
 from lodestat.operators.sizing import lookup_join
+from lodestat.session import attach_row
 
 GRID_POINTS = 200
 # exp(-z*z/2) is exactly 0 in double precision beyond this many bandwidths.
@@ -31,9 +33,8 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 60) -> DataFrame:
     """(bin, bin_lo, n) for equal-width bins from minimum to maximum, empty bins included."""
     rows = _values(df, value)
     ends = rows.agg(F.min("v").alias("lo"), ((F.max("v") - F.min("v")) / bins).alias("w"))
-    e = ends.select(F.struct("lo", "w")).scalar()
-    counts = rows.select(
-        _slot(F.col("v"), e.getField("lo"), e.getField("w"), F.lit(bins)).alias("bin")
+    counts = attach_row(rows, ends).select(
+        _slot(F.col("v"), F.col("_p.lo"), F.col("_p.w"), F.lit(bins)).alias("bin")
     ).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     frame = ends.where("lo IS NOT NULL").select(
         "lo", "w", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
@@ -81,17 +82,17 @@ def kde(df: DataFrame, value: str | Column, points: int = GRID_POINTS,
     fit = rows.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), n.alias("n"),
                    (std * F.pow(n, F.lit(-0.2))).alias("bw"))
     fit = fit.withColumn("step", (F.col("hi") - F.col("lo")) / (points - 1)).where("bw > 0")
-    f = fit.select(F.struct("*")).scalar()
     if prebin:
-        w = (f.getField("hi") - f.getField("lo")) / prebin
-        mid = f.getField("lo") + (_slot(F.col("v"), f.getField("lo"), w, F.lit(prebin)) + 0.5) * w
-        rows = rows.select(mid.alias("v"))
-    merged = rows.groupBy("v").agg(F.count(F.lit(1)).alias("c")).select("v", "c", f.alias("f"))
-    reach = KERNEL_REACH * F.col("f.bw")
-    first = F.greatest(F.lit(0), F.ceil((F.col("v") - reach - F.col("f.lo")) / F.col("f.step")))
-    last = F.least(F.lit(points - 1), F.floor((F.col("v") + reach - F.col("f.lo")) / F.col("f.step")))
+        w = (F.col("_p.hi") - F.col("_p.lo")) / prebin
+        mid = F.col("_p.lo") + (_slot(F.col("v"), F.col("_p.lo"), w, F.lit(prebin)) + 0.5) * w
+        rows = attach_row(rows, fit).select(mid.alias("v"))
+    merged = rows.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    merged = attach_row(merged, fit).select("v", "c", "_p.*")
+    reach = KERNEL_REACH * F.col("bw")
+    first = F.greatest(F.lit(0), F.ceil((F.col("v") - reach - F.col("lo")) / F.col("step")))
+    last = F.least(F.lit(points - 1), F.floor((F.col("v") + reach - F.col("lo")) / F.col("step")))
     hits = merged.select(
-        "v", "c", F.col("f.lo").alias("lo"), F.col("f.step").alias("step"), F.col("f.bw").alias("bw"),
+        "v", "c", "lo", "step", "bw",
         F.explode(F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))).alias("i"))
     z = (F.col("lo") + F.col("i") * F.col("step") - F.col("v")) / F.col("bw")
     sums = hits.groupBy("i").agg(F.sum(F.col("c") * F.exp(-0.5 * z * z)).alias("s"))
@@ -104,25 +105,24 @@ def kde(df: DataFrame, value: str | Column, points: int = GRID_POINTS,
 
 def violin(df: DataFrame, value: str | Column, points: int = GRID_POINTS) -> DataFrame:
     """Density over the data range with the quartiles on every row."""
-    q = quantiles(df, value, [0.25, 0.5, 0.75]).select(F.struct("p25", "p50", "p75")).scalar()
-    return kde(df, value, points).select(
-        "*", q.getField("p25").alias("q1"), q.getField("p50").alias("median"),
-        q.getField("p75").alias("q3"))
+    q = quantiles(df, value, [0.25, 0.5, 0.75])
+    return attach_row(kde(df, value, points), q).select(
+        "point", "x", "density", F.col("_p.p25").alias("q1"), F.col("_p.p50").alias("median"),
+        F.col("_p.p75").alias("q3"))
 
 
-def box_stats(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: list[str] = (), few_groups: bool = False) -> DataFrame:
     """Quartiles, whiskers (extreme values within 1.5 IQR) and outliers per group."""
     by = list(by)
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    q = quantiles(rows, "_v", [0.25, 0.5, 0.75], by)
+    q = quantiles(rows, "_v", [0.25, 0.5, 0.75], by, few_groups=few_groups)
     iqr = F.col("p75") - F.col("p25")
     q = q.select(*by, F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3"),
                  (F.col("p25") - 1.5 * iqr).alias("_lo"), (F.col("p75") + 1.5 * iqr).alias("_hi"))
     if by:
-        located = lookup_join(rows, q, by, "inner")
+        located = rows.join(F.broadcast(q), by) if few_groups else lookup_join(rows, q, by, "inner")
     else:
-        one = q.select(F.struct("*")).scalar()
-        located = rows.select("_v", one.alias("q")).select("_v", "q.*")
+        located = attach_row(rows, q).select("_v", "_p.*")
     v, within = F.col("_v"), F.col("_v").between(F.col("_lo"), F.col("_hi"))
     return located.groupBy(*by, "q1", "median", "q3").agg(
         F.min(F.when(within, v)).alias("whisker_low"), F.max(F.when(within, v)).alias("whisker_high"),
@@ -151,23 +151,16 @@ def hexbin(df: DataFrame, xs: list[str], y: str, grid: int = 30) -> DataFrame:
 
     All columns share one pass for their ranges and one for the counts.
     """
-    num = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in dict.fromkeys([*xs, y])])
-    ends = []
-    for c in xs:
-        both = F.col(c).isNotNull() & F.col(y).isNotNull()
-        ends += [F.min(F.when(both, F.col(c))).alias(f"x0_{c}"), F.max(F.when(both, F.col(c))).alias(f"x1_{c}"),
-                 F.min(F.when(both, F.col(y))).alias(f"y0_{c}"), F.max(F.when(both, F.col(y))).alias(f"y1_{c}")]
-    e = num.agg(F.struct(*ends)).scalar()
-    located = num.select("*", e.alias("_e"))
-    cells = []
-    for c in xs:
-        edge = [F.col("_e").getField(f"{k}_{c}") for k in ("x0", "x1", "y0", "y1")]
-        both = F.col(c).isNotNull() & F.col(y).isNotNull()
-        cells.append(F.when(both, F.struct(
-            F.lit(c).alias("feature"), _hex_cell(F.col(c), F.col(y), *edge, grid).alias("cell"))))
-    hits = located.select(F.explode(F.array(*cells)).alias("h")).where("h IS NOT NULL")
-    return hits.select("h.feature", "h.cell.*").groupBy("feature", "lattice", "i", "j").agg(
-        F.count(F.lit(1)).alias("n"))
+    target = nan_to_null(F.col(y).cast("double"))
+    rows = to_long(df.withColumn("_y", target).where("_y IS NOT NULL"), xs, keep=["_y"])
+    rows = rows.where("value IS NOT NULL")
+    ends = rows.groupBy("feature").agg(
+        F.min("value").alias("x0"), F.max("value").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"))
+    # One row per column name.
+    located = rows.join(F.broadcast(ends), "feature")
+    cell = _hex_cell(F.col("value"), F.col("_y"), *[F.col(c) for c in ("x0", "x1", "y0", "y1")], grid)
+    return located.select("feature", cell.alias("c")).select("feature", "c.*").groupBy(
+        "feature", "lattice", "i", "j").agg(F.count(F.lit(1)).alias("n"))
 
 
 def numeric_vs_target(df: DataFrame, cols: list[str], target: str, max_levels: int = 6,
@@ -178,13 +171,14 @@ def numeric_vs_target(df: DataFrame, cols: list[str], target: str, max_levels: i
     The columns are routed by a measured distinct count (one aggregate).
     """
     cols = [c for c in dict.fromkeys(cols) if c != target]
-    complete = [F.when(F.col(target).isNotNull(), F.col(c)) for c in cols]
-    seen = df.agg(*[F.count_distinct(v).alias(c) for c, v in zip(cols, complete)]).first()
+    seen = {r["column"]: r["n_distinct"] for r in distinct_counts(
+        df.where(F.col(target).isNotNull()), cols).collect()}
     few = [c for c in cols if seen[c] <= max_levels]
     parts = []
     if few:
         long = to_long(df.where(F.col(target).isNotNull()), few, keep=[target], value="level")
-        parts.append(box_stats(long.where("level IS NOT NULL"), target, ["feature", "level"]).select(
+        parts.append(box_stats(long.where("level IS NOT NULL"), target, ["feature", "level"],
+                               few_groups=True).select(
             "feature", F.lit("box").alias("kind"), "level", "q1", "median", "q3",
             F.lit(None).cast("int").alias("lattice"), F.lit(None).cast("int").alias("i"),
             F.lit(None).cast("int").alias("j"), "n"))
@@ -222,14 +216,13 @@ def pair_bins(df: DataFrame, cols: list[str], bins: int = 20, first: int = 5) ->
     over the rows where all the columns are present."""
     cols = cols[:first]
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    e = rows.agg(F.struct(*[F.min(c).alias(f"lo_{c}") for c in cols],
-                          *[F.max(c).alias(f"hi_{c}") for c in cols])).scalar()
+    ends = rows.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols])
 
     def slot(c: str) -> Column:
-        lo = e.getField(f"lo_{c}")
-        return _slot(F.col(c), lo, (e.getField(f"hi_{c}") - lo) / bins, F.lit(bins)).alias(c)
+        lo, hi = F.col("_p")[f"lo_{c}"], F.col("_p")[f"hi_{c}"]
+        return _slot(F.col(c), lo, (hi - lo) / bins, F.lit(bins)).alias(c)
 
-    slots = rows.select(*[slot(c) for c in cols])
+    slots = attach_row(rows, ends).select(*[slot(c) for c in cols])
     # A row adds a fixed number of cells; partial counts shrink them before the shuffle.
     pairs = [(c, c) for c in cols] + list(combinations(cols, 2))
     cells = slots.select(F.explode(F.array(*[

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lodestat.functions.parse import nan_to_null
 from lodestat.operators.quantiles import median_row
+from lodestat.session import attach_row
 
 
 def fill(df: DataFrame, values: dict) -> DataFrame:
@@ -20,16 +21,11 @@ def drop_missing(df: DataFrame, *cols: str) -> DataFrame:
     return df.dropna(subset=list(cols))
 
 
-def medians_of(df: DataFrame, cols: list[str]) -> dict[str, Column]:
-    """The exact medians as scalar subqueries; nothing is collected."""
-    one = median_row(df, cols).select(F.struct(*cols).alias("m")).scalar()
-    return {c: one.getField(c) for c in cols}
-
-
 def fill_median(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Fill nulls (and NaN) with the column's exact median."""
-    med = medians_of(fit_on if fit_on is not None else df, cols)
-    return df.withColumns({c: F.coalesce(nan_to_null(F.col(c).cast("double")), med[c]) for c in cols})
+    located = attach_row(df, median_row(fit_on if fit_on is not None else df, cols))
+    return located.withColumns({
+        c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.col("_p")[c]) for c in cols}).drop("_p")
 
 
 def mode_of(df: DataFrame, col: str) -> DataFrame:

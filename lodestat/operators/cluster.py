@@ -3,73 +3,185 @@
 from __future__ import annotations
 
 import math
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestat.operators.profile import group_means, value_counts
 from lodestat.operators.sizing import lookup_join
+from lodestat.session import attach_row
 
 MAX_CENTRES = 1000
 
 
-def with_vector(df: DataFrame, cols: list[str], name: str = "features") -> DataFrame:
-    return df.withColumn(name, array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])))
+def with_array(df: DataFrame, cols: list[str], name: str = "x") -> DataFrame:
+    return df.withColumn(name, F.array(*[F.col(c).cast("double") for c in cols]))
 
 
-def pca_ratios(df: DataFrame, size: int, features: str = "features") -> DataFrame:
+def pca_ratios(df: DataFrame, size: int, features: str = "x") -> DataFrame:
     """(component, ratio, cumulative) of the explained variance, all components."""
-    found = PCA(k=size, inputCol=features, outputCol="_pc").fit(df.select(features))
+    found = PCA(k=size, inputCol="_v", outputCol="_pc").fit(df.select(array_to_vector(features).alias("_v")))
     ratios = found.explainedVariance.toArray()
     rows = [(i + 1, float(r), float(c)) for i, (r, c) in enumerate(zip(ratios, np.cumsum(ratios)))]
     return df.sparkSession.createDataFrame(rows, "component int, ratio double, cumulative double")
 
 
-def pca_project(df: DataFrame, k: int = 2, features: str = "features") -> DataFrame:
+def pca_project(df: DataFrame, k: int = 2, features: str = "x") -> DataFrame:
     """Add pc1..pck of centred features; the largest loading of each is positive."""
-    model = PCA(k=k, inputCol=features, outputCol="_pc").fit(df.select(features))
+    df = df.withColumn("_v", array_to_vector(features))
+    model = PCA(k=k, inputCol="_v", outputCol="_pc").fit(df.select("_v"))
     loadings = model.pc.toArray()
     signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), range(k)])
     out = model.transform(df).withColumn("_pc", vector_to_array("_pc"))
     return out.withColumns({
-        f"pc{i + 1}": F.col("_pc")[i] * float(signs[i]) for i in range(k)}).drop("_pc")
+        f"pc{i + 1}": F.col("_pc")[i] * float(signs[i]) for i in range(k)}).drop("_pc", "_v")
 
 
-def kmeans(df: DataFrame, k: int, features: str = "features", restarts: int = 10, seed: int = 42,
-           max_iter: int = 100, parallelism: int = 4) -> KMeansModel:
-    """Best of several seeded fits by training cost; ``df`` should be cached."""
-    return _fit_all(df, [k], features, restarts, seed, max_iter, parallelism)[k]
+@dataclass
+class KMeansFit:
+    """Centres of one fit and the cost of assigning every row to its nearest one."""
 
+    k: int
+    centres: np.ndarray
+    cost: float = math.inf
 
-def _fit_all(df, ks, features, restarts, seed, max_iter, parallelism) -> dict[int, KMeansModel]:
-    def fit(job):
-        k, s = job
-        return k, KMeans(k=k, seed=s, featuresCol=features, predictionCol="cluster",
-                         maxIter=max_iter).fit(df)
+    def predict(self, df: DataFrame, features: str = "x", name: str = "cluster") -> DataFrame:
+        out = assign_nearest(df, {i: list(c) for i, c in enumerate(self.centres)}, features)
+        return out.withColumnRenamed("cluster", name).drop("distance")
 
-    jobs = [(k, seed + i) for k in ks for i in range(restarts)]
-    with ThreadPool(parallelism) as pool:
-        fits = pool.map(fit, jobs)
-    return {k: min((m for kk, m in fits if kk == k), key=lambda m: m.summary.trainingCost) for k in ks}
 
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, row by centre."""
+    return np.stack([((x - c) ** 2).sum(axis=1) for c in centres], axis=1)
 
-def kmeans_elbow(df: DataFrame, features: str = "features", ks=range(2, 8), restarts: int = 10,
-                 seed: int = 42, max_iter: int = 100, parallelism: int = 4) -> DataFrame:
-    """(k, inertia, silhouette_squared); the input is cached for all the fits."""
-    data = df.select(features).persist()
+
+def _seed_centres(data: DataFrame, jobs: dict[int, tuple[int, int]]) -> dict[int, list[list[float]]]:
+    """k-means++ for all the fits at once: one pass per centre.
+
+    A row wins with a probability proportional to its squared distance when it has
+    the smallest -log(u) / distance, with u fixed by the row's hash and the seed.
+    """
+    chosen: dict[int, list[list[float]]] = {i: [] for i in jobs}
+    for step in range(max(k for k, _ in jobs.values())):
+        open_jobs = {i: (seed, np.array(chosen[i])) for i, (k, seed) in jobs.items() if k > step}
+        shared = data.sparkSession.sparkContext.broadcast(open_jobs)
+
+        def race(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = {}
+            for batch in batches:
+                x, h = np.stack(batch["x"]), batch["h"].to_numpy()
+                for i, (seed, centres) in shared.value.items():
+                    weight = _distances(x, centres).min(axis=1) if len(centres) else np.ones(len(x))
+                    with np.errstate(divide="ignore"):
+                        time = -np.log(_uniform(h, seed, step)) / weight
+                    at = int(time.argmin())
+                    if i not in best or time[at] < best[i][0]:
+                        best[i] = (float(time[at]), x[at])
+            yield pd.DataFrame([{"model": i, "time": t, "x": row} for i, (t, row) in best.items()],
+                               columns=["model", "time", "x"])
+
+        winners = data.mapInPandas(race, "model int, time double, x array<double>")
+        for r in winners.groupBy("model").agg(F.min_by("x", "time").alias("x")).collect():
+            chosen[r["model"]].append(r["x"])
+        shared.destroy()
+    return chosen
+
+
+def _uniform(h: np.ndarray, seed: int, step: int) -> np.ndarray:
+    """Numbers in (0, 1) from 64-bit hashes, another stream for every seed and step."""
+    with np.errstate(over="ignore"):
+        z = h.astype(np.uint64) + np.uint64((seed * 1009 + step + 1) * 0x9E3779B97F4A7C15 % 2 ** 64)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z = z ^ (z >> np.uint64(31))
+    return ((z >> np.uint64(11)).astype(float) + 0.5) / 2.0 ** 53
+
+
+def _assign_all(data: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, list]:
+    """(cluster, rows, mean vector, cost) per model, from one pass for all of them."""
+    shared = data.sparkSession.sparkContext.broadcast(centres)
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {i: [np.zeros(len(c)), np.zeros_like(c), np.zeros(len(c))] for i, c in shared.value.items()}
+        for batch in batches:
+            x = np.stack(batch["x"])
+            for i, c in shared.value.items():
+                d = _distances(x, c)
+                near = d.argmin(axis=1)
+                member = np.eye(len(c))[near]
+                n, sums, cost = totals[i]
+                n += member.sum(axis=0)
+                sums += member.T @ x
+                cost += member.T @ d.min(axis=1)
+        yield pd.DataFrame(
+            [{"model": i, "cluster": j, "n": n[j], "mean": sums[j] / n[j], "cost": cost[j]}
+             for i, (n, sums, cost) in totals.items() for j in range(len(n)) if n[j]],
+            columns=["model", "cluster", "n", "mean", "cost"])
+
+    parts = data.mapInPandas(assign, "model int, cluster int, n double, mean array<double>, cost double")
+    rows = parts.groupBy("model", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+        vector_to_array(Summarizer.mean(array_to_vector("mean"), F.col("n"))).alias("mean")).collect()
+    shared.destroy()
+    out: dict[int, list] = {i: [] for i in centres}
+    for r in rows:
+        out[r["model"]].append(r)
+    return out
+
+
+def kmeans_fits(df: DataFrame, key: str, features: str, ks, restarts: int = 10, seed: int = 42,
+                max_iter: int = 300, tol: float = 1e-4) -> dict[int, KMeansFit]:
+    """The best of several k-means++ restarts for every k.
+
+    All (k, restart) fits advance in the same pass over the rows, so the number of
+    passes is that of the slowest fit, not the sum over the fits.
+    """
+    data = df.select(F.xxhash64(key).alias("h"), F.col(features).alias("x")).persist()
     try:
-        models = _fit_all(data, list(ks), features, restarts, seed, max_iter, parallelism)
-        score = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
-        rows = [(k, float(m.summary.trainingCost), float(score.evaluate(m.transform(data))))
-                for k, m in models.items()]
+        size = len(data.select("x").first()[0])
+        spread = data.agg(F.array(*[F.var_pop(F.col("x")[i]) for i in range(size)])).first()[0]
+        limit = tol * float(np.mean(spread))
+        jobs = {n: job for n, job in enumerate((k, seed + r) for k in ks for r in range(restarts))}
+        centres = {i: np.array(c) for i, c in _seed_centres(data, jobs).items()}
+        moving = set(centres)
+        for _ in range(max_iter):
+            found = _assign_all(data, {i: centres[i] for i in moving})
+            for i in sorted(moving):
+                new = centres[i].copy()
+                for r in found[i]:
+                    new[r["cluster"]] = r["mean"]
+                shift = float(((new - centres[i]) ** 2).sum())
+                centres[i] = new
+                if shift <= limit:
+                    moving.discard(i)
+            if not moving:
+                break
+        fits = {i: KMeansFit(len(c), c) for i, c in centres.items()}
+        for i, rows in _assign_all(data, centres).items():
+            fits[i].cost = float(sum(r["cost"] for r in rows))
     finally:
         data.unpersist()
+    return {k: min((f for i, f in fits.items() if jobs[i][0] == k), key=lambda f: f.cost) for k in ks}
+
+
+def kmeans(df: DataFrame, key: str, features: str, k: int, **options) -> KMeansFit:
+    return kmeans_fits(df, key, features, [k], **options)[k]
+
+
+def elbow_table(df: DataFrame, features: str, fits: dict[int, KMeansFit]) -> DataFrame:
+    """(k, inertia, silhouette_squared) of fitted cluster counts."""
+    rows = []
+    for k, fit in fits.items():
+        labelled = fit.predict(df.select(features), features).select(
+            array_to_vector(features).alias("features"), "cluster")
+        rows.append((k, fit.cost, ClusteringEvaluator(predictionCol="cluster").evaluate(labelled)))
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_squared double")
 
 
@@ -105,9 +217,10 @@ def assign_nearest(df: DataFrame, centres: dict, features: str) -> DataFrame:
     return out.select(*df.columns, F.col("_n.id").alias("cluster"), F.col("_n.d").alias("distance"))
 
 
-def silhouette_squared(df: DataFrame, features: str = "features", cluster: str = "cluster") -> DataFrame:
+def silhouette_squared(df: DataFrame, features: str = "x", cluster: str = "cluster") -> DataFrame:
     """Mean silhouette in squared Euclidean distance; linear in the rows."""
-    score = ClusteringEvaluator(featuresCol=features, predictionCol=cluster).evaluate(df)
+    rows = df.select(array_to_vector(features).alias("features"), cluster)
+    score = ClusteringEvaluator(predictionCol=cluster).evaluate(rows)
     return df.sparkSession.createDataFrame([(float(score),)], "silhouette_squared double")
 
 
@@ -170,11 +283,11 @@ def label_segments(profile: DataFrame) -> DataFrame:
     rules = [(name, c) for name, c in SEGMENT_RULES if c in profile.columns]
     if not rules:
         return profile.withColumn("segment", F.lit(OTHER_SEGMENT))
-    mid = profile.agg(F.struct(*[F.median(c).alias(c) for _, c in rules])).scalar()
+    mid = profile.agg(*[F.median(c).alias(c) for _, c in rules])
     label = F
     for name, c in rules:
-        label = label.when(F.col(c) > mid.getField(c), name)
-    return profile.withColumn("segment", label.otherwise(OTHER_SEGMENT))
+        label = label.when(F.col(c) > F.col("_p")[c], name)
+    return attach_row(profile, mid).withColumn("segment", label.otherwise(OTHER_SEGMENT)).drop("_p")
 
 
 def segment_rows(df: DataFrame, cluster: str, cols: list[str]) -> tuple[DataFrame, DataFrame]:

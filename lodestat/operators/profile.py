@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lodestat.functions.parse import nan_to_null
 from lodestat.operators.clean import duplicate_count
 from lodestat.operators.quantiles import column_quantiles, quantiles, to_long
-from lodestat.operators.sizing import lookup_join
+from lodestat.session import attach_row
 
 
 def _null(c: str, df: DataFrame) -> Column:
@@ -29,12 +33,11 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def null_mask(df: DataFrame, key: str, buckets: int = 100) -> DataFrame:
     """Nulls per column in equal slices of the key range: a null heat map."""
-    lo, hi = F.min(key), F.max(key)
-    ends = df.agg(F.struct(lo.alias("lo"), hi.alias("hi"))).scalar()
-    span = ends.getField("hi") - ends.getField("lo") + 1
-    slot = F.floor((F.col(key) - ends.getField("lo")) * buckets / span).cast("int")
+    ends = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    span = F.col("_p.hi") - F.col("_p.lo") + 1
+    slot = F.floor((F.col(key) - F.col("_p.lo")) * buckets / span).cast("int")
     cols = [c for c in df.columns if c != key]
-    flags = df.select(slot.alias("bucket"), *[_null(c, df).cast("int").alias(c) for c in cols])
+    flags = attach_row(df, ends).select(slot.alias("bucket"), *[_null(c, df).cast("int").alias(c) for c in cols])
     sums = flags.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows"),
                                        *[F.sum(c).alias(c) for c in cols])
     return sums.unpivot(["bucket", "n_rows"], cols, "column", "nulls")
@@ -126,8 +129,8 @@ def top_groups(df: DataFrame, key: str, value: str, n: int, by: str = "median")
 
 
 def keep_groups(df: DataFrame, groups: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in a (top-n) group table."""
-    return lookup_join(df, groups.select(key), key, "left_semi")
+    """Rows whose key is in a top-n group table, which is bounded by its limit."""
+    return df.join(F.broadcast(groups.select(key)), key, "left_semi")
 
 
 def flag_impact(df: DataFrame, flags: list[str], value: str) -> DataFrame:
@@ -138,7 +141,7 @@ def flag_impact(df: DataFrame, flags: list[str], value: str) -> DataFrame:
     ).unpivot([value], present, "flag", "value_of_flag").where("value_of_flag IN (0, 1)")
     keys = ["flag", "value_of_flag"]
     means = long.groupBy(*keys).agg(F.avg(value).alias("mean"))
-    med = quantiles(long, value, [0.5], keys).select(*keys, "n", F.col("p50").alias("median"))
+    med = quantiles(long, value, [0.5], keys, few_groups=True).select(*keys, "n", F.col("p50").alias("median"))
     return med.join(F.broadcast(means), keys).select(*keys, "median", "mean", "n")
 
 
@@ -150,53 +153,56 @@ def iqr_report(df: DataFrame, col: str) -> DataFrame:
         F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3"),
         iqr.alias("iqr"), F.greatest(F.lit(0.0), F.col("p25") - 1.5 * iqr).alias("lower"),
         (F.col("p75") + 1.5 * iqr).alias("upper"))
-    f = fences.select(F.struct("*")).scalar()
-    counts = df.select(F.col(col).alias("v"), f.alias("f")).agg(
+    counts = attach_row(df.select(F.col(col).alias("v")), fences).groupBy("_p").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("v") < F.col("f.lower")).alias("n_low"),
-        F.count_if(F.col("v") > F.col("f.upper")).alias("n_high"))
+        F.count_if(F.col("v") < F.col("_p.lower")).alias("n_low"),
+        F.count_if(F.col("v") > F.col("_p.upper")).alias("n_high"))
     return counts.select(
-        *[f.getField(c).alias(c) for c in ("q1", "median", "q3", "iqr", "lower", "upper")],
-        "n_low", "n_high",
+        "_p.*", "n_low", "n_high",
         F.try_divide((F.col("n_low") + F.col("n_high")) * 100.0, "n_rows").alias("outlier_pct"))
 
 
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson r for every ordered pair of columns, over the rows where both are present.
 
-    One aggregate; a column without variance gives null.
+    Columns without gaps go through one matrix product; only pairs with a gap in
+    one of them need aggregates of their own. Without variance r is null.
     """
     cols = list(dict.fromkeys(cols))
-    num = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    num = num.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in cols])
-    aggs, names = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-            spread = F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y))
-            names.append((a, b))
-            aggs.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"r{len(names) - 1}"))
-    row = num.agg(*aggs)
-    cells = []
-    for i, (a, b) in enumerate(names):
-        for p, q in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(p).alias("x"), F.lit(q).alias("y"), F.col(f"r{i}").alias("r")))
-    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    num = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
+    gaps = num.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    full = [c for c in cols if gaps["_rows"] > 1 and not gaps[c]]
+    found = {}
+    if full:
+        vectors = num.select(array_to_vector(F.array(*full)).alias("v"))
+        r = Correlation.corr(vectors, "v").first()[0].toArray()
+        # The diagonal of a constant column is set to 1 by the library.
+        flat = [bool(np.isnan(np.delete(row, i)).all()) and len(full) > 1 for i, row in enumerate(r)]
+        for i, a in enumerate(full):
+            for j, b in enumerate(full):
+                bad = np.isnan(r[i, j]) or flat[i] or flat[j]
+                found[a, b] = None if bad else float(r[i, j])
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:] if (a, b) not in found]
+    if pairs:
+        values = num.agg(*[_pair_r(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).first()
+        for (a, b), value in zip(pairs, values):
+            found[a, b] = found[b, a] = value
+    # A matrix of the columns, never of the rows.
+    return df.sparkSession.createDataFrame(
+        [(a, b, found[a, b]) for a in cols for b in cols], "x string, y string, r double")
+
+
+def _pair_r(a: str, b: str) -> Column:
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
 
 
 def target_correlates(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
     """The columns ranked by absolute correlation with the target."""
     cols = [c for c in dict.fromkeys(cols) if c != target]
-    num = df.select(*[F.col(c).cast("double").alias(c) for c in [target, *cols]])
-    num = num.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in num.columns])
-    aggs = []
-    for c in cols:
-        both = F.col(c).isNotNull() & F.col(target).isNotNull()
-        x, y = F.when(both, F.col(c)), F.when(both, F.col(target))
-        aggs.append(F.try_divide(
-            F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y))).alias(c))
-    return (num.agg(*aggs).unpivot([], cols, "feature", "r")
+    num = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in [target, *cols]])
+    return (num.agg(*[_pair_r(target, c).alias(c) for c in cols]).unpivot([], cols, "feature", "r")
             .orderBy(F.desc_nulls_last(F.abs("r")), "feature"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodestat.functions.parse import nan_to_null
 from lodestat.operators.sizing import lookup_join
+from lodestat.session import attach_row
 
 ACCURACY = 100_000
 # The sketch errs by at most 1/ACCURACY of the rows; the bracket is wider.
@@ -65,11 +66,12 @@ def _compress(lo: Column, hi: Column, k: int) -> Column:
 
 
 def quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] = (),
-              exact: bool = True) -> DataFrame:
+              exact: bool = True, few_groups: bool = False) -> DataFrame:
     """One row per group: the group columns, ``n`` and one column per probability.
 
     Nulls are left out; a group with nothing else has n = 0 and null quantiles.
-    ``exact=False`` returns sketch values from a single pass.
+    ``exact=False`` returns sketch values from a single pass. ``few_groups`` says
+    that the number of groups is fixed by the schema, so it need not be measured.
     """
     by = list(by)
     probs = sorted(set(probs))
@@ -88,18 +90,15 @@ def quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[s
     if by:
         # Null group keys are groups too, so the join has to match them.
         keys = [F.struct(*by).alias("_k")]
-        located = lookup_join(
-            rows.where("v IS NOT NULL").select(*keys, "v"),
-            brackets.select(*keys, "n", "lo", "hi"), "_k", "inner")
-        lo, hi = F.col("lo"), F.col("hi")
+        known = rows.where("v IS NOT NULL").select(*keys, "v")
+        table = brackets.select(*keys, "n", "lo", "hi")
+        located = known.join(F.broadcast(table), "_k") if few_groups else lookup_join(
+            known, table, "_k", "inner")
         group = ["_k"]
     else:
-        one = brackets.select(F.struct("n", "lo", "hi").alias("b")).scalar()
-        located = rows.where("v IS NOT NULL").select("v", one.alias("b"))
-        located = located.select("v", F.col("b.n").alias("n"), F.col("b.lo").alias("lo"),
-                                 F.col("b.hi").alias("hi"))
-        lo, hi = F.col("lo"), F.col("hi")
+        located = attach_row(rows.where("v IS NOT NULL"), brackets).select("v", "_p.*")
         group = []
+    lo, hi = F.col("lo"), F.col("hi")
     counted = (
         located.select(*group, "n", _compress(lo, hi, len(probs)).alias("r"))
         .groupBy(*group, "n", "r").agg(F.count(F.lit(1)).alias("c"))
@@ -136,7 +135,7 @@ def quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[s
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                      exact: bool = True) -> DataFrame:
     """``quantiles`` of several columns in one plan, one row per column."""
-    return quantiles(to_long(df, cols), "value", probs, ["feature"], exact)
+    return quantiles(to_long(df, cols), "value", probs, ["feature"], exact, few_groups=True)
 
 
 def median_row(df: DataFrame, cols: list[str]) -> DataFrame:

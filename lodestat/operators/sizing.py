@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from lodestat.session import settle
 
@@ -39,13 +39,19 @@ def is_small(df: DataFrame, max_rows=MAX_BROADCAST_ROWS, max_bytes=MAX_BROADCAST
 def broadcast_checked(df: DataFrame, derived: bool = True) -> DataFrame:
     """Hint a broadcast for ``df`` only when it is measured to be small.
 
-    A derived table (an aggregate, a join) is computed once and kept, so the
-    measurement does not cost a second pass over its input. A larger table is
-    returned unhinted: Spark then shuffles, and AQE splits skewed partitions.
+    A derived table (an aggregate, a join) is computed once, kept, and measured by
+    the same job. A larger table is returned unhinted: Spark then shuffles, and AQE
+    splits skewed partitions.
     """
-    if derived:
-        df = settle(df)
-    return F.broadcast(df) if is_small(df) else df
+    if not derived:
+        return F.broadcast(df) if is_small(df) else df
+    size = Observation()
+    watched = df.observe(size, F.count(F.lit(1)).alias("rows"),
+                         F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"))
+    kept = settle(watched)
+    found = size.get
+    small = found["rows"] <= MAX_BROADCAST_ROWS and found["bytes"] <= MAX_BROADCAST_BYTES
+    return F.broadcast(kept) if small else kept
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",

@@ -13,7 +13,7 @@ from lodestat.functions.hashing import fold_of, pick
 from lodestat.operators import (
     charts, clean, cluster, columns, encode, enrich, metrics, mlp, nearby, profile, search)
 from lodestat.plans import eda, listings as pl, pricing, segmentation
-from lodestat.session import settle
+from lodestat.session import settle, settle_table
 from lodestat.sources.fixtures import table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -489,9 +489,7 @@ def silhouette_exact(spark, sf):
 
 @query
 def silhouette_squared(spark, sf):
-    df = cluster.with_vector(_embeddings(spark, sf).select(
-        "label", *[F.col("x")[i].alias(d) for i, d in enumerate(DIMS)]), DIMS)
-    return rounded(cluster.silhouette_squared(df, cluster="label"), 6, "silhouette_squared")
+    return rounded(cluster.silhouette_squared(_embeddings(spark, sf), "x", "label"), 6, "silhouette_squared")
 
 
 def _clustered_listings(spark, sf):
@@ -518,7 +516,7 @@ def segment_counts(spark, sf):
 
 
 def _points(spark, sf):
-    return cluster.with_vector(_scaled_embeddings(spark, sf), DIMS).select("vec_id", "features")
+    return cluster.with_array(_scaled_embeddings(spark, sf), DIMS).select("vec_id", "x")
 
 
 @query
@@ -528,12 +526,13 @@ def pca_ratios(spark, sf):
 
 @query
 def pca_projection(spark, sf):
-    return cluster.pca_project(_points(spark, sf)).drop("features")
+    return cluster.pca_project(_points(spark, sf)).drop("x")
 
 
 @query
 def kmeans_elbow(spark, sf):
-    return cluster.kmeans_elbow(_points(spark, sf))
+    points = settle(_points(spark, sf))
+    return cluster.elbow_table(points, "x", cluster.kmeans_fits(points, "vec_id", "x", range(2, 8)))
 
 
 @query
@@ -636,7 +635,7 @@ def price_model_run(spark, sf):
     """Random and grid search on the enriched listings, as a leaderboard."""
     parts = [view(spark, sf, n) for n in
              ("listings", "calendar", "crime", "stations", "tourist_spots", "income_house")]
-    enriched = settle(pl.cleanse_for_model(pl.enrich_listings(*parts)))
+    enriched = settle_table(pl.cleanse_for_model(pl.enrich_listings(*parts)))
     small = {**search.SPACE, "hidden": ["32"], "activation": ["relu"], "alpha": [0.0001]}
     return pricing.price_model_run(enriched, trials=3, grid=small, grid_folds=3, max_epochs=8)
 
@@ -646,7 +645,7 @@ def eda_pack(spark, sf):
     """Rows in every table of the presentation pack."""
     parts = [view(spark, sf, n) for n in
              ("listings", "calendar", "crime", "stations", "tourist_spots", "income_house")]
-    enriched = settle(pl.cleanse_for_model(pl.enrich_listings(*parts)))
+    enriched = settle_table(pl.cleanse_for_model(pl.enrich_listings(*parts)))
     pack = eda.eda_pack(enriched)
     return reduce(DataFrame.unionByName, [
         df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n_rows")) for name, df in pack.items()])

@@ -24,7 +24,7 @@ CATEGORIES = [("room_type", 10, "median"), ("property_type", 10, "median"), ("ar
 def price_by_category(df: DataFrame, col: str, n: int, by: str, target: str = "price") -> DataFrame:
     """Box statistics of the target for the top n categories."""
     kept = profile.keep_groups(df, profile.top_groups(df, col, target, n, by), col)
-    return charts.box_stats(kept, target, [col])
+    return charts.box_stats(kept, target, [col], few_groups=True)
 
 
 def eda_pack(df: DataFrame, target: str = "price") -> dict[str, DataFrame]:

@@ -12,6 +12,7 @@ from lodestat.operators.columns import matching_columns
 from lodestat.operators.enrich import area_averages, area_counts, attach, dominant_season
 from lodestat.operators.nearby import count_within
 from lodestat.operators.quantiles import qname, quantiles
+from lodestat.session import attach_row
 
 # The pinned listing columns.
 LISTING_COLUMNS = [
@@ -118,8 +119,8 @@ def winsorise(df: DataFrame, col: str, low: float = 0.05, high: float = 0.95,
               fit_on: DataFrame | None = None) -> DataFrame:
     """Limit a column to its exact quantiles."""
     q = quantiles(fit_on if fit_on is not None else df, col, [low, high])
-    ends = q.select(F.struct(F.col(qname(low)).alias("lo"), F.col(qname(high)).alias("hi"))).scalar()
-    return df.withColumn(col, fx.clip(F.col(col).cast("double"), ends.getField("lo"), ends.getField("hi")))
+    ends = F.col("_p")[qname(low)], F.col("_p")[qname(high)]
+    return attach_row(df, q).withColumn(col, fx.clip(F.col(col).cast("double"), *ends)).drop("_p")
 
 
 def model_features(df: DataFrame, as_of: dt.date | None = None,
@@ -132,8 +133,8 @@ def model_features(df: DataFrame, as_of: dt.date | None = None,
     df = winsorise(df, "price", fit_on=fit_on)
     new = {"price_log": F.log1p("price")}
     if {"latitude", "longitude"} <= set(df.columns):
-        mid = fit_on.agg(F.struct(F.avg("latitude").alias("la"), F.avg("longitude").alias("lo"))).scalar()
-        d_lat, d_lon = F.col("latitude") - mid.getField("la"), F.col("longitude") - mid.getField("lo")
+        df = attach_row(df, fit_on.agg(F.avg("latitude").alias("lat"), F.avg("longitude").alias("lon")))
+        d_lat, d_lon = F.col("latitude") - F.col("_p.lat"), F.col("longitude") - F.col("_p.lon")
         new["distance_to_center"] = F.sqrt(d_lat * d_lat + d_lon * d_lon)
     if "amenities" in df.columns:
         new["amenities_count"] = fx.list_size("amenities")
@@ -150,4 +151,4 @@ def model_features(df: DataFrame, as_of: dt.date | None = None,
     for c in ("instant_bookable", "host_is_superhost", "host_identity_verified"):
         if c in df.columns:
             new[c] = parse.flag_any(c)
-    return df.withColumns(new).drop("amenities", "host_since")
+    return df.withColumns(new).drop("amenities", "host_since", "_p")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "lodestat") -> SparkSession:
@@ -45,3 +48,34 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and keep it on reliable storage."""
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def settle_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as parquet next to the checkpoints and read it back.
+
+    For wide tables read many times: later scans prune columns and push filters,
+    which a checkpointed DataFrame cannot.
+    """
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def attach_row(df: DataFrame, row: DataFrame, name: str = "_p") -> DataFrame:
+    """Add a one-row table as a struct column, through a scalar subquery.
+
+    Fitted values reach every row this way without a join and without a collect;
+    keeping them in one column means the subquery is planned only once.
+    """
+    return df.withColumn(name, row.select(F.struct("*")).scalar())
+
+
+def share(spark: SparkSession, value) -> Broadcast:
+    """Broadcast Python objects of this package; read them with ``received``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared: Broadcast):
+    return pickle.loads(shared.value)
