@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -58,8 +59,9 @@ class KMeansFit:
 
 
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Squared distances, row by centre."""
-    return np.stack([((x - c) ** 2).sum(axis=1) for c in centres], axis=1)
+    """Squared distances, row by centre; rounding below zero is cut off."""
+    d = (x * x).sum(axis=1)[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(axis=1)
+    return np.maximum(d, 0.0)
 
 
 def _seed_centres(data: DataFrame, jobs: dict[int, tuple[int, int]]) -> dict[int, list[list[float]]]:
@@ -177,11 +179,14 @@ def kmeans(df: DataFrame, key: str, features: str, k: int, **options) -> KMeansF
 
 def elbow_table(df: DataFrame, features: str, fits: dict[int, KMeansFit]) -> DataFrame:
     """(k, inertia, silhouette_squared) of fitted cluster counts."""
-    rows = []
-    for k, fit in fits.items():
+    def score(fit: KMeansFit) -> tuple:
         labelled = fit.predict(df.select(features), features).select(
             array_to_vector(features).alias("features"), "cluster")
-        rows.append((k, fit.cost, ClusteringEvaluator(predictionCol="cluster").evaluate(labelled)))
+        return fit.k, fit.cost, ClusteringEvaluator(predictionCol="cluster").evaluate(labelled)
+
+    # Independent Spark jobs, submitted together.
+    with ThreadPool(len(fits)) as pool:
+        rows = pool.map(score, fits.values())
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_squared double")
 
 

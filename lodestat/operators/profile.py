@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lodestat.functions.parse import nan_to_null
 from lodestat.operators.clean import duplicate_count
 from lodestat.operators.quantiles import column_quantiles, quantiles, to_long
-from lodestat.session import attach_row
+from lodestat.session import attach_row, settle
 
 
 def _null(c: str, df: DataFrame) -> Column:
@@ -122,7 +122,8 @@ def top_groups(df: DataFrame, key: str, value: str, n: int, by: str = "median")
     """The n first groups by median, by count or in name order."""
     rows = df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
     if by == "median":
-        return group_median(rows, key, value).select(key, "median").limit(n)
+        # n rows, kept so that filters on them do not repeat the medians.
+        return settle(group_median(rows, key, value).select(key, "median").limit(n))
     if by == "count":
         return value_counts(rows, key).limit(n)
     return rows.select(key).distinct().orderBy(key).limit(n)

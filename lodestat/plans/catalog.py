@@ -457,14 +457,16 @@ def _embeddings(spark, sf):
         "vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
 
 
-def _scaled_embeddings(spark, sf):
-    wide = _embeddings(spark, sf).select("vec_id", "label", *[F.col("x")[i].alias(d) for i, d in enumerate(DIMS)])
-    return encode.standard_scale(wide, DIMS)
+@query
+def standard_scale(spark, sf):
+    scaled = encode.scale_array(_embeddings(spark, sf), "x")
+    return scaled.select("vec_id", *[F.round(F.col("x")[i], 6).alias(d) for i, d in enumerate(DIMS)])
 
 
 @query
-def standard_scale(spark, sf):
-    return rounded(_scaled_embeddings(spark, sf).drop("label"), 6, *DIMS)
+def standard_scale_columns(spark, sf):
+    return rounded(encode.standard_scale(table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", *LINE_NUMBERS), LINE_NUMBERS), 6, *LINE_NUMBERS)
 
 
 @query
@@ -516,7 +518,7 @@ def segment_counts(spark, sf):
 
 
 def _points(spark, sf):
-    return cluster.with_array(_scaled_embeddings(spark, sf), DIMS).select("vec_id", "x")
+    return encode.scale_array(_embeddings(spark, sf), "x").select("vec_id", "x")
 
 
 @query

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from lodestat.operators import cluster, profile
 from lodestat.operators.clean import fill_median
 from lodestat.operators.columns import drop_constant, numeric_columns
-from lodestat.operators.encode import standard_scale
+from lodestat.operators.encode import scale_array
 from lodestat.plans.listings import cleanse_for_model, eda_features
 from lodestat.session import settle_table
 
@@ -20,8 +20,7 @@ def segmentation_report(df: DataFrame, key: str = "id", k: int | str = 3, restar
     eda = eda_features(clean)
     cols = numeric_columns(eda, (key, "price_per_person"))
     numbers = settle_table(fill_median(eda.select(key, *cols), cols))
-    scaled = standard_scale(numbers, cols)
-    points = settle_table(cluster.with_array(scaled, cols).select(key, "x"))
+    points = settle_table(scale_array(cluster.with_array(numbers, cols)).select(key, "x"))
     tried = {*ks} | (set() if k == "auto" else {k})
     fits = cluster.kmeans_fits(points, key, "x", sorted(tried), restarts=restarts, seed=seed)
     elbow = cluster.elbow_table(points, "x", {n: f for n, f in fits.items() if n in ks})

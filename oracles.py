@@ -497,3 +497,6 @@ ORACLES["regression_metrics"] = f"SELECT {_metrics(2000)}"
 ORACLES["leaderboard"] = " UNION ALL ".join(
     f"SELECT 'factor {f}' AS model, '{{\"factor\": {f}}}' AS best_params, {_metrics(f)}" for f in (1000, 2000, 3000)
 ) + """ UNION ALL SELECT 'no rows', '{}', NULL, NULL, NULL, NULL, NULL, NULL"""
+
+ORACLES["standard_scale_columns"] = "SELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}" for c in LINE_NUMBERS) + " FROM lineitem"
