@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from lodestat.operators import cluster, profile
 from lodestat.operators.clean import fill_median
@@ -19,6 +19,9 @@ def segmentation_report(df: DataFrame, key: str = "id", k: int | str = 3, restar
     clean = settle_table(cleanse_for_model(df))
     eda = eda_features(clean)
     cols = numeric_columns(eda, (key, "price_per_person"))
+    # A column without any value has no median to fill it with.
+    filled = eda.agg(*[F.count(c).alias(c) for c in cols]).first()
+    cols = [c for c in cols if filled[c]]
     numbers = settle_table(fill_median(eda.select(key, *cols), cols))
     points = settle_table(scale_array(cluster.with_array(numbers, cols)).select(key, "x"))
     tried = {*ks} | (set() if k == "auto" else {k})

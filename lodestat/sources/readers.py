@@ -45,9 +45,10 @@ def read_listings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_calendar(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """A gzip file is one task to read, so its rows are spread for what follows."""
+    """Gzip CSV. One file is one task to read; ``partitions`` spreads its rows for
+    heavy work after it (counting per listing combines in the reading task anyway)."""
     df = typed(read_csv(spark, path).select("listing_id", "date", "available"), CALENDAR_TYPES)
-    return df.repartition(partitions) if partitions else df.repartition()
+    return df.repartition(partitions) if partitions else df
 
 
 def read_crime(spark: SparkSession, path: str) -> DataFrame:
