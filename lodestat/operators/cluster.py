@@ -147,9 +147,8 @@ def kmeans_fits(df: DataFrame, key: str, features: str, ks, restarts: int = 10,
     """
     data = df.select(F.xxhash64(key).alias("h"), F.col(features).alias("x")).persist()
     try:
-        size = len(data.select("x").first()[0])
-        spread = data.agg(F.array(*[F.var_pop(F.col("x")[i]) for i in range(size)])).first()[0]
-        limit = tol * float(np.mean(spread))
+        spread = data.agg(Summarizer.variance(array_to_vector("x"))).first()[0]
+        limit = tol * float(np.mean(spread.toArray()))
         jobs = {n: job for n, job in enumerate((k, seed + r) for k in ks for r in range(restarts))}
         centres = {i: np.array(c) for i, c in _seed_centres(data, jobs).items()}
         moving = set(centres)
@@ -200,10 +199,10 @@ def squared_distance(x: Column, centre: list[float]) -> Column:
     return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
 
 
-def group_centres(df: DataFrame, label: str, features: str, size: int) -> dict:
+def group_centres(df: DataFrame, label: str, features: str) -> dict:
     """Mean vector of each labelled group; a bounded number of groups."""
     rows = df.groupBy(label).agg(
-        F.array(*[F.avg(F.col(features)[i]) for i in range(size)]).alias("c")
+        vector_to_array(Summarizer.mean(array_to_vector(features))).alias("c")
     ).limit(MAX_CENTRES + 1).collect()
     if len(rows) > MAX_CENTRES:
         raise ValueError(f"more than {MAX_CENTRES} centres")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestat.functions.parse import nan_to_null
 from lodestat.operators.clean import duplicate_count
-from lodestat.operators.quantiles import column_quantiles, quantiles, to_long
+from lodestat.operators.quantiles import column_quantiles, quantiles
 from lodestat.session import attach_row, settle
 
 
@@ -45,10 +45,11 @@ def null_mask(df: DataFrame, key: str, buckets: int = 100) -> DataFrame:
 
 def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per numeric column."""
-    long = to_long(df, cols)
-    stats = long.groupBy("feature").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    num = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
+    stats = num.agg(*[F.struct(
+        F.lit(c).alias("feature"), F.count(c).alias("count"), F.avg(c).alias("mean"),
+        F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")).alias(c) for c in cols])
+    stats = stats.select(F.explode(F.array(*cols)).alias("s")).select("s.*")
     q = column_quantiles(df, cols, [0.25, 0.5, 0.75], exact).drop("n")
     return stats.join(q, "feature", "left").select(
         "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")

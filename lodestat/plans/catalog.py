@@ -472,14 +472,14 @@ def standard_scale_columns(spark, sf):
 @query
 def kmeans_assign(spark, sf):
     df = _embeddings(spark, sf)
-    out = cluster.assign_nearest(df, cluster.group_centres(df, "label", "x", SIZE), "x")
+    out = cluster.assign_nearest(df, cluster.group_centres(df, "label", "x"), "x")
     return rounded(out.select("vec_id", "cluster", "distance"), 6, "distance")
 
 
 @query
 def kmeans_inertia(spark, sf):
     df = _embeddings(spark, sf)
-    out = cluster.assign_nearest(df, cluster.group_centres(df, "label", "x", SIZE), "x")
+    out = cluster.assign_nearest(df, cluster.group_centres(df, "label", "x"), "x")
     return out.agg(F.round(F.sum("distance"), 4).alias("inertia"), F.count(F.lit(1)).alias("n"))
 
 
