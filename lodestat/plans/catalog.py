@@ -382,6 +382,12 @@ def geo_price_grid(spark, sf):
     return rounded(charts.capped_grid(df, "longitude", "latitude", "price", 0.05, 0.05), 6, "mean_value")
 
 
+@query
+def capped_points(spark, sf):
+    df = pl.clean_listings(view(spark, sf, "listings"), features=False)
+    return rounded(charts.capped_points(df, "longitude", "latitude", "price"), 6, "v")
+
+
 @query
 def availability_review_grid(spark, sf):
     df = pl.clean_listings(view(spark, sf, "listings"), features=False)
@@ -634,12 +640,13 @@ def mlp_train_eval(spark, sf):
 
 @query
 def price_model_run(spark, sf):
-    """Random and grid search on the enriched listings, as a leaderboard."""
+    """Random search, grid search and halving on the enriched listings, as a leaderboard."""
     parts = [view(spark, sf, n) for n in
              ("listings", "calendar", "crime", "stations", "tourist_spots", "income_house")]
     enriched = settle_table(pl.cleanse_for_model(pl.enrich_listings(*parts)))
     small = {**search.SPACE, "hidden": ["32"], "activation": ["relu"], "alpha": [0.0001]}
-    return pricing.price_model_run(enriched, trials=3, grid=small, grid_folds=3, max_epochs=8)
+    return pricing.price_model_run(enriched, trials=3, grid=small, grid_folds=3, max_epochs=8,
+                                   halving_trials=4, halving_folds=3, halving_epochs=8, rungs=[2, 4])
 
 
 @query

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lodestat.functions.features import SEASONS
 from lodestat.operators import charts, profile
-from lodestat.operators.columns import numeric_columns
+from lodestat.operators.columns import categorical_columns, numeric_columns
 
 # Columns kept out of the plots, the 0/1 flags and the numeric features.
 DROP_COLUMNS = ["id", "name", "description", "amenities", "neighbourhood_cleansed",
@@ -56,6 +56,8 @@ def eda_pack(df: DataFrame, target: str = "price") -> dict[str, DataFrame]:
     if {"reviews_per_month", "availability_365"} <= set(df.columns):
         out["reviews_vs_availability"] = charts.capped_grid(
             df, "availability_365", "reviews_per_month", target, 5, 0.5)
+    for c in categorical_columns(df)[:5]:
+        out[f"top_values_{c}"] = profile.value_counts(df, c).limit(10)
     if "area" in df.columns:
         out["listings_per_area"] = profile.value_counts(df, "area", keep_null=True).limit(20)
     if "dominant_season" in df.columns:

@@ -500,3 +500,5 @@ ORACLES["leaderboard"] = " UNION ALL ".join(
 
 ORACLES["standard_scale_columns"] = "SELECT l_orderkey, l_linenumber, " + ", ".join(
     f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}" for c in LINE_NUMBERS) + " FROM lineitem"
+ORACLES["capped_points"] = f"""{LISTINGS}, {BASE} SELECT longitude AS x, latitude AS y,
+  round(least(price, (SELECT quantile_cont(price, 0.95) FROM base)), 6) AS v FROM base"""

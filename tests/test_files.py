@@ -80,8 +80,10 @@ def test_round_trip_and_errors(spark, tmp_path):
 def test_whole_run_from_raw_files(spark, raw, tmp_path):
     out = str(tmp_path / "out")
     small = {"hidden": ["4"], "activation": ["relu"], "alpha": [0.0001], "learning_rate": [0.01], "batch_size": [32]}
-    board = files.run(spark, raw, out, trials=2, grid=small, folds=2, grid_folds=2, max_epochs=3)
-    assert {r["model"] for r in board.collect()} == {"MLP random search", "MLP grid search"}
+    board = files.run(spark, raw, out, trials=2, grid=small, folds=2, grid_folds=2, max_epochs=3,
+                      halving_trials=2, halving_folds=2, halving_epochs=3, rungs=[1])
+    assert {r["model"] for r in board.collect()} == {
+        "MLP random search", "MLP grid search", "MLP successive halving"}
     listings = spark.read.parquet(f"{out}/listings")
     # Four of six prices are readable and inside the range.
     assert listings.count() == 80 and listings.select("id").distinct().count() == 80
