@@ -35,15 +35,17 @@ def to_long(df: DataFrame, cols: list[str], keep: list[str] = (), name: str = "f
     return wide.unpivot(list(keep), list(cols), name, value)
 
 
-def _brackets(rows: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+def _sketch(v: str, probs: list[float]) -> list[Column]:
     edges = [max(0.0, p - _MARGIN) for p in probs] + [min(1.0, p + _MARGIN) for p in probs]
     wanted = ", ".join(f"{e!r}D" for e in edges)
-    k = len(probs)
-    sketch = rows.groupBy(*by).agg(
-        F.count("v").alias("n"),
-        F.min("v").alias("min"), F.max("v").alias("max"),
-        F.expr(f"approx_percentile(v, array({wanted}), {ACCURACY})").alias("edges"),
-    )
+    return [
+        F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.expr(f"approx_percentile(`{v}`, array({wanted}), {ACCURACY})").alias("edges"),
+    ]
+
+
+def _brackets(sketch: DataFrame, by: list[str], k: int) -> DataFrame:
+    """(group, n, lo, hi): between which values each of the k ranks lies."""
     few = F.col("n") < _WHOLE_GROUP
     return sketch.select(
         *by, "n",
@@ -86,7 +88,13 @@ def quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[s
             .select(*by, "n", *[F.col("q")[i].alias(qname(p)) for i, p in enumerate(probs)])
         )
 
-    brackets = _brackets(rows, by, probs)
+    return _pick(rows, _brackets(rows.groupBy(*by).agg(*_sketch("v", probs)), by, len(probs)),
+                 by, probs, few_groups)
+
+
+def _pick(rows: DataFrame, brackets: DataFrame, by: list[str], probs: list[float],
+          few_groups: bool) -> DataFrame:
+    """The exact quantiles of ``rows.v`` from the brackets of every group."""
     if by:
         # Null group keys are groups too, so the join has to match them.
         keys = [F.struct(*by).alias("_k")]
@@ -135,7 +143,16 @@ def quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[s
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                      exact: bool = True) -> DataFrame:
     """``quantiles`` of several columns in one plan, one row per column."""
-    return quantiles(to_long(df, cols), "value", probs, ["feature"], exact, few_groups=True)
+    long = to_long(df, cols)
+    if not exact:
+        return quantiles(long, "value", probs, ["feature"], exact=False)
+    probs = sorted(set(probs))
+    # The sketches are taken column by column; only the second pass needs long rows.
+    num = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
+    wide = num.agg(*[F.struct(F.lit(c).alias("feature"), *_sketch(c, probs)).alias(c) for c in cols])
+    sketch = wide.select(F.explode(F.array(*cols)).alias("s")).select("s.*")
+    return _pick(long.withColumnRenamed("value", "v"), _brackets(sketch, ["feature"], len(probs)),
+                 ["feature"], probs, few_groups=True)
 
 
 def median_row(df: DataFrame, cols: list[str]) -> DataFrame:
