@@ -6,4 +6,16 @@ ORACLES = {
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM d JOIN g USING (t)""",
+    "op8_chat_format": r"""
+        WITH r AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+                   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+             e AS (SELECT *, length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '<', '\<')) AS n FROM r),
+             g AS (SELECT conv_id, count(*) AS n_turns,
+                          sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+                          coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+                          CAST(sum(n + length(role) + 4 + 1 + 8) AS BIGINT) AS formatted_chars
+                   FROM e GROUP BY conv_id)
+        SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+        FROM g""",
 }
