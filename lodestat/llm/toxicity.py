@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lodestat.llm.common import utf8
@@ -14,9 +15,9 @@ from lodestat.session import settle_table
 
 #: Labelled rows to learn from, by a hash of the id; the only sample here.
 MAX_LABELLED = 200_000
-#: Entries of the lexicon; the most significant stay.
-MAX_LEXICON = 20_000
-PRIOR_MASS = 500.0
+#: Terms whose contexts are counted, and entries of the lexicon; the most significant stay.
+MAX_CANDIDATES, MAX_LEXICON = 50_000, 20_000
+PRIOR_MASS, PRIOR_FLOOR = 500.0, 0.5
 LEAST_Z = 3.0
 DRIFT = 0.5
 STEMS = (4, 5, 6)
@@ -115,7 +116,11 @@ def is_held_out(key: Column) -> Column:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int) -> DataFrame:
-    """``(body, y)`` of labelled rows that aren't held out, at most about ``most`` by a hash of the id."""
+    """``(body, y)`` of labelled rows that aren't held out, at most about ``most`` by a hash of the id.
+
+    Of the rows of a class whose texts have the same smallest shingle, as most copies have,
+    one stays: a word that many copies of one text hold says little about its class.
+    """
     known = (labels.select(F.col(key).alias("l_id"), F.col(label).cast("int").alias("y"))
              .filter(F.col("l_id").isNotNull() & F.col("y").isNotNull() & ~is_held_out(F.col("l_id")))
              .groupBy("l_id").agg(F.max("y").alias("y")))
@@ -123,7 +128,20 @@ def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: st
     if n > most:
         known = known.filter(F.pmod(F.xxhash64("l_id"), F.lit(1_000_000)) < int(1_000_000 * most / n))
     # Its size is bounded by ``most``.
-    return docs.select(F.col(key).alias("l_id"), utf8(text).alias("body")).join(F.broadcast(known), "l_id").select("body", "y")
+    rows = docs.select(F.col(key).alias("l_id"), utf8(text).alias("body")).join(F.broadcast(known), "l_id")
+    kind = rows.schema["l_id"]
+    sketched = settle_table(rows.mapInArrow(_with_shingle, T.StructType([kind, *rows.drop("l_id").schema.fields, T.StructField("m", T.LongType())])))
+    first = sketched.groupBy("m", "y").agg(F.min("l_id").alias("l_id"))
+    return sketched.join(F.broadcast(first), ["m", "y", "l_id"]).select("body", "y")
+
+
+def _with_shingle(batches):
+    for batch in batches:
+        least = []
+        for body in batch.column("body"):
+            words = words_of(body.as_py())
+            least.append(min((xxhash.xxh3_64_intdigest(b" ".join(words[i:i + 5])) >> 1 for i in range(max(1, len(words) - 4)))))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())], names=[*batch.schema.names, "m"])
 
 
 def _count_terms(batches):
@@ -140,13 +158,42 @@ def _count_terms(batches):
              pa.array([clean.get(t, 0) for t in terms], pa.int64())], names=["term", "y1", "y0"])
 
 
+def _contexts(candidates: frozenset[bytes]):
+    """Each candidate term with a hash of its neighbour words, once per batch and class."""
+    def run(batches):
+        for batch in batches:
+            seen: set[tuple[bytes, int, int]] = set()
+            for body, y in zip(batch.column("body"), batch.column("y").to_pylist()):
+                words = words_of(body.as_py())
+                for i, w in enumerate(words):
+                    found = _terms((w,)) & candidates
+                    if found:
+                        near = xxhash.xxh3_64_intdigest(b" ".join((*words[max(i - 1, 0):i], b"", *words[i + 1:i + 2]))) >> 1
+                        seen.update((t, near, y) for t in found)
+            rows = list(seen)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()),
+                 pa.array([r[2] for r in rows], pa.int32())], names=["term", "near", "y"])
+    return run
+
+
+def _log_odds(counts: DataFrame, n1: float, n0: float) -> DataFrame:
+    """Add ``d``, the log-odds under a Dirichlet prior in proportion to overall frequency, and ``z``, in its standard deviations."""
+    return (counts.withColumn("a", PRIOR_FLOOR + PRIOR_MASS * (F.col("y1") + F.col("y0")) / (n1 + n0))
+            .withColumn("d", F.log((F.col("y1") + F.col("a")) / (n1 + PRIOR_MASS - F.col("y1") - F.col("a")))
+                        - F.log((F.col("y0") + F.col("a")) / (n0 + PRIOR_MASS - F.col("y0") - F.col("a"))))
+            .withColumn("z", F.col("d") / F.sqrt(1 / (F.col("y1") + F.col("a")) + 1 / (F.col("y0") + F.col("a")))))
+
+
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
           most: int = MAX_LABELLED) -> Model:
     """Fit the model on labelled rows whose id isn't held out.
 
-    Term counts are per text, aggregated by Spark; the log-odds have a Dirichlet prior
-    in proportion to the terms' overall frequency, and terms below ``LEAST_Z`` standard
-    deviations stay out. Without labels, or with one class only, the lexicon is empty.
+    Spark counts the texts of each class that hold a term; the log-odds have a
+    Dirichlet prior in proportion to the terms' overall frequency. The terms that stand
+    out are then counted by distinct neighbour words, so that the copies of one text
+    count once, and stay if still above ``LEAST_Z`` standard deviations. Without
+    labels, or with one class only, the lexicon is empty.
     """
     sample = settle_table(_labelled(docs, labels, key, text, label, most))
     counts = settle_table(sample.mapInArrow(_count_terms, "term binary, y1 bigint, y0 bigint")
@@ -156,13 +203,13 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     model = Model({})
     if not n1 or not n0:
         return model
-    prior = PRIOR_MASS * (F.col("y1") + F.col("y0")) / (n1 + n0)
-    lexicon = (counts.filter("y1 >= 2").withColumn("a", prior)
-               .withColumn("d", F.log((F.col("y1") + F.col("a")) / (n1 + PRIOR_MASS - F.col("y1") - F.col("a")))
-                           - F.log((F.col("y0") + F.col("a")) / (n0 + PRIOR_MASS - F.col("y0") - F.col("a"))))
-               .withColumn("z", F.col("d") / F.sqrt(1 / (F.col("y1") + F.col("a")) + 1 / (F.col("y0") + F.col("a"))))
-               .filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(MAX_LEXICON)
-               .select("term", "d", "y0").collect())
+    top = lambda rows, most: rows.filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(most)
+    candidates = frozenset(bytes(r["term"]) for r in top(_log_odds(counts.filter("y1 >= 2"), n1, n0), MAX_CANDIDATES).select("term").collect())
+    by_context = (sample.mapInArrow(_contexts(candidates), "term binary, near bigint, y int")
+                  .groupBy("term", "near").agg(F.max(F.when(F.col("y") == 1, 1).otherwise(0)).alias("y1"),
+                                               F.max(F.when(F.col("y") == 0, 1).otherwise(0)).alias("y0"))
+                  .groupBy("term").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")))
+    lexicon = top(_log_odds(by_context.filter("y1 >= 3"), n1, n0), MAX_LEXICON).select("term", "d", "y0").collect()
     model.weights = {bytes(r["term"]): float(r["d"]) for r in lexicon}
     if not lexicon:
         return model
