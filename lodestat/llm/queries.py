@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestat.llm import chat, chunks, sharding, toxicity, unigram, urls
+from lodestat.llm import chat, chunks, packing, sharding, toxicity, unigram, urls
 from lodestat.llm.common import read
 
 
@@ -22,6 +22,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"), RULES)
 
 
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.exact_duplicates(read(spark, sf_dir, "documents"))
 
@@ -48,4 +52,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_shard_by_bytes, op2_url_filter, op7_exact_duplicates, op8_chat_format, op9_toxic_passages, op10_token_counts)}
+    op1_shard_by_bytes, op2_url_filter, op4_pack, op7_exact_duplicates, op8_chat_format, op9_toxic_passages, op10_token_counts)}
