@@ -1,6 +1,22 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLES = {
+    "op6_contamination": r"""
+        WITH L AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+             B AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+             S AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM B WHERE len(w) > 0),
+             W AS (SELECT item_id, least(13, len(w)) AS n, array_to_string(w[s:s + 12], ' ') AS t FROM S),
+             K AS (SELECT DISTINCT n FROM W),
+             D AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM L, K WHERE len(w) >= n),
+             M AS (SELECT DISTINCT doc_id, s, n, item_id FROM (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS t FROM D) JOIN W USING (n, t)),
+             H AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM M) GROUP BY doc_id),
+             I AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+                   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM M) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM L LEFT JOIN H USING (doc_id) LEFT JOIN I USING (doc_id)""",
     "op7_exact_duplicates": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
