@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestat.llm import chat, chunks, decontaminate, packing, sharding, toxicity, unigram, urls
+from lodestat.llm import chat, chunks, decontaminate, neardup, packing, sharding, toxicity, unigram, urls
 from lodestat.llm.common import read
 
 
@@ -26,6 +26,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85).drop("k_sha")
+
+
 def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("k_a", "k_h")
 
@@ -56,4 +60,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_shard_by_bytes, op2_url_filter, op4_pack, op6_contamination, op7_exact_duplicates, op8_chat_format, op9_toxic_passages, op10_token_counts)}
+    op1_shard_by_bytes, op2_url_filter, op4_pack, op5_near_duplicates, op6_contamination, op7_exact_duplicates, op8_chat_format, op9_toxic_passages, op10_token_counts)}
