@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from lodestat.llm.common import WordHashes, mixed, row_key, slabs
 from lodestat.llm.components import components
@@ -20,7 +20,7 @@ BAND_ROWS = 6
 BANDS = BUCKETS // BAND_ROWS
 #: Standard errors that an estimate may fall below the threshold, and the set size from which it is trusted.
 ERRORS, TRUSTED = 6.0, BUCKETS
-ROUNDS = 3
+ROUNDS = 2
 _REST = 64 - BUCKET_BITS
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xA0761D6478BD642F)]
 #: For each bucket, the order in which an empty one borrows from the others.
@@ -136,15 +136,40 @@ class _Search:
         close = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
         near = settle_table(pairs.join(code("a"), "a").join(code("b"), "b").filter(close)
                             .mapInArrow(_promising(self.percent / 100), "a bigint, b bigint, n_a bigint, n_b bigint"))
-        wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        rows = self.classes.join(wanted, "node", "left_semi").select("node", F.col("rep.k_id").alias("w_id"), F.col("rep.k_sha").alias("w_sha"))
-        texts = self.keyed.join(broadcast_checked(rows), F.col("k_id").eqNullSafe(F.col("w_id")) & (F.col("k_sha") == F.col("w_sha")))
-        sets = settle_table(texts.select("node", "body").mapInArrow(_sets(self.size), "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
+        sets = self.sets_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct())
         side = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
         both = near.join(side("a"), "a").join(side("b"), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
         return both.filter(100 * common >= self.percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """``(node, shingles)``: the full sets of classes, from the text of one member each."""
+        rows = self.classes.join(nodes, "node", "left_semi").select("node", F.col("rep.k_id").alias("w_id"), F.col("rep.k_sha").alias("w_sha"))
+        texts = self.keyed.join(broadcast_checked(rows), F.col("k_id").eqNullSafe(F.col("w_id")) & (F.col("k_sha") == F.col("w_sha")))
+        return settle_table(texts.select("node", "body").mapInArrow(_sets(self.size), "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
+
+    def across(self, members: DataFrame) -> DataFrame:
+        """All pairs ``(a, b)`` of different components that can still link, among ``members (node, n, comp)``.
+
+        Of two sets that link, the rarest shingles of both, as many as the threshold leaves
+        unmatched and one more, share one. So sets meet on their rarest shingles only,
+        however many of them share a band. Where two sets first meet, what stands before
+        is in one of them alone, so the place of the meeting bounds their intersection.
+        """
+        shingle = self.sets_of(members.select("node")).select("node", F.explode("shingles").alias("s"))
+        seen = shingle.groupBy("s").agg(F.count("*").alias("c"))
+        need = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
+        rarest = (shingle.join(seen, "s").join(members, "node")
+                  .withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("c", "s"))).filter(F.col("at") <= need)
+                  .filter("c > 1").select("node", "n", "comp", "s", "at"))
+        rarest = settle_table(rarest)
+        x, y = rarest.alias("x"), rarest.alias("y")
+        return (x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.comp") < F.col("y.comp"))
+                       & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * self.percent)
+                       & ((100 + self.percent) * (F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) + 1)
+                          >= self.percent * (F.col("x.n") + F.col("y.n"))))
+                .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+
     def labels(self) -> DataFrame:
         """``(node, comp)`` of all nodes that share a band."""
         nodes = self.shared.select("node").distinct()
@@ -169,8 +194,8 @@ class _Search:
         """``(node, comp)`` after all links are found.
 
         First each band's pivot is tested against the band's other members, so a large
-        group becomes one component by as many tests as it has members. Then only pairs
-        of different components that share a band are left; all of those are tested.
+        group becomes one component by as many tests as it has members. What is left are
+        members of different components that share a band; ``across`` finds all their links.
         """
         for i in range(ROUNDS):
             labelled = settle_table(self.shared.join(self.labels(), "node"))
@@ -183,12 +208,8 @@ class _Search:
                 return self.labels()
         labelled = settle_table(self.shared.join(self.labels(), "node"))
         mixed_ = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
-        left = settle_table(labelled.join(mixed_, "key"))
-        x, y = left.alias("x"), left.alias("y")
-        pairs = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp"))
-                        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * self.percent))
-                 .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-        self.take(pairs)
+        members = settle_table(labelled.join(mixed_, "key", "left_semi").select("node", "n", "comp").distinct())
+        self.take(self.across(members))
         return self.labels()
 
 
