@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestat.llm import chat, chunks, decontaminate, neardup, packing, sharding, toxicity, unigram, urls
+from lodestat.llm import chat, chunks, decontaminate, neardup, packing, sharding, substrings, toxicity, unigram, urls
 from lodestat.llm.common import read
 
 
@@ -22,6 +22,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"), RULES)
 
 
+def op3_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -60,4 +64,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_shard_by_bytes, op2_url_filter, op4_pack, op5_near_duplicates, op6_contamination, op7_exact_duplicates, op8_chat_format, op9_toxic_passages, op10_token_counts)}
+    op1_shard_by_bytes, op2_url_filter, op3_repeated_substrings, op4_pack, op5_near_duplicates, op6_contamination, op7_exact_duplicates, op8_chat_format, op9_toxic_passages, op10_token_counts)}
