@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from lodestat.llm.common import utf8
 
 #: A turn is ``### role``, a new line, the text, ``</turn>`` and a new line. Inside roles
-#: and texts a backslash stands before each backslash, ``#`` and ``<`` (in roles also before
-#: a new line), so neither mark can occur there.
+#: and texts ``\\``, ``\h`` and ``\l`` stand for a backslash, ``#`` and ``<``, and in roles ``\n`` for
+#: a new line, so neither mark can occur there.
 HEAD, FOOT = b"### ", b"</turn>\n"
 LEARNED_ROLE = b"assistant"
 #: A conversation longer than this goes out in several parts, in order.
@@ -22,6 +22,8 @@ _TEXT_MARKS = np.zeros(256, bool)
 _TEXT_MARKS[list(b"\\#<")] = True
 _ROLE_MARKS = _TEXT_MARKS.copy()
 _ROLE_MARKS[10] = True
+_CODES = {ord("\\"): ord("\\"), ord("#"): ord("h"), ord("<"): ord("l"), 10: ord("n")}
+_MEANINGS = {bytes([code]): bytes([sign]) for sign, code in _CODES.items()}
 
 
 def _column(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -33,10 +35,13 @@ def _column(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _escaped(values: pa.Array, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Source bytes, each one's place within the escaped column, and the escaped offsets of the rows."""
+    """Bytes to write, each one's place within the escaped column, and the escaped offsets of the rows."""
     data, offsets = _column(values)
     before = np.concatenate(([0], np.cumsum(marks[data])))
-    return data, np.arange(len(data)) + before[1:], offsets + before[offsets]
+    codes = np.arange(256, dtype=np.uint8)
+    for sign in np.flatnonzero(marks).tolist():
+        codes[sign] = _CODES[sign]
+    return codes[data], np.arange(len(data)) + before[1:], offsets + before[offsets]
 
 
 def assemble(roles: pa.Array, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -134,37 +139,24 @@ def format_chats(conversations: DataFrame, key: str = "conv_id", turn: str = "tu
 
 
 def unescape(data: bytes) -> bytes:
-    """Undo the escaping: a backslash stands for the byte after it."""
+    """Undo the escaping."""
     if b"\\" not in data:
         return data
     out, at = [], 0
     while (found := data.find(b"\\", at)) >= 0:
-        out.append(data[at:found])
-        out.append(data[found + 1:found + 2])
+        out += data[at:found], _MEANINGS[data[found + 1:found + 2]]
         at = found + 2
     return b"".join([*out, data[at:]])
 
 
-def _unmarked(data: bytes, sign: bytes, at: int) -> int:
-    """Place of the next ``sign`` that no backslash escapes."""
-    while True:
-        found = data.index(sign, at)
-        back = found
-        while back > at and data[back - 1] == 92:
-            back -= 1
-        if (found - back) % 2 == 0:
-            return found
-        at = found + 1
-
-
 def parse(formatted: bytes) -> Iterator[tuple[bytes, bytes]]:
     """Roles and texts of formatted turns."""
     at = 0
     while at < len(formatted):
         if formatted[at:at + len(HEAD)] != HEAD:
             raise ValueError("a turn must start with its mark")
-        line = _unmarked(formatted, b"\n", at + len(HEAD))
-        end = _unmarked(formatted, FOOT, line + 1)
+        line = formatted.index(b"\n", at + len(HEAD))
+        end = formatted.index(FOOT, line + 1)
         yield unescape(formatted[at + len(HEAD):line]), unescape(formatted[line + 1:end])
         at = end + len(FOOT)
 

@@ -126,10 +126,10 @@ def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "tex
     Of rows with one id and one text, whatever their other columns, one stays.
     """
     found = settle_table(exact_duplicates(docs, key, text))
-    kept = found.filter("kept").select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"))
-    repeated = found.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).filter("n > 1").select(
-        F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"))
-    stay = with_decision(docs, kept, "left_semi", key, text)
+    rows = settle_table(found.groupBy(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"))
+                        .agg(F.count("*").alias("n"), F.max("kept").alias("stays")))
+    stay = with_decision(docs, rows.filter("not stays"), "left_anti", key, text)
+    repeated = rows.filter("stays and n > 1")
     if repeated.isEmpty():
         return stay
     tag = "_".join([*docs.columns, "sha"])  # a name that no column has

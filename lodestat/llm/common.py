@@ -10,6 +10,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lodestat.operators.sizing import broadcast_checked
+
 SLAB_BYTES = 4 << 20
 
 
@@ -32,8 +34,11 @@ def row_key(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def with_decision(docs: DataFrame, decisions: DataFrame, how: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Semi or anti join of ``docs`` to ``(k_id, k_sha)`` rows; every column of ``docs`` stays."""
-    wanted = decisions.select("k_id", "k_sha").distinct().alias("wanted")
+    """Semi or anti join of ``docs`` to ``(k_id, k_sha)`` rows; every column of ``docs`` stays.
+
+    The decisions are broadcast only if measured to be small.
+    """
+    wanted = broadcast_checked(decisions.select("k_id", "k_sha").distinct()).alias("wanted")
     same = F.col("wanted.k_id").eqNullSafe(F.col(f"kept_docs.`{key}`")) & (
         F.col("wanted.k_sha") == F.sha2(F.coalesce(F.col(f"kept_docs.`{text}`").cast("binary"), F.lit(b"")), 256))
     return docs.alias("kept_docs").join(wanted, same, how)

@@ -31,7 +31,7 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85).drop("k_sha")
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85).drop("k_sha", "component")
 
 
 def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,6 +55,9 @@ class Model:
         found = [self.weights[t] for t in (word, *(word[:n] + b" " for n in STEMS if len(word) > n)) if t in self.weights]
         return max(found) if found else -DRIFT
 
+    def probability(self, evidence: float) -> float:
+        return 1 / (1 + math.exp(-min(max(self.slope * evidence + self.offset, -30), 30)))
+
 
 class _Weights(dict):
     def __init__(self, model: Model):
@@ -268,7 +271,7 @@ def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
             scores, runs = [], []
             for b in batch.column("body"):
                 x, found = significance(model, b.as_py(), weights)
-                scores.append(1 / (1 + math.exp(-min(max(model.slope * x + model.offset, -30), 30))))
+                scores.append(model.probability(x))
                 runs.append([{"first": s, "behind": e, "excess": v} for s, e, v in found])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("k_sha"), pa.array(scores, pa.float64()),
@@ -279,3 +282,19 @@ def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
     schema = T.StructType([slim.schema["doc_id"], slim.schema["k_sha"], T.StructField("score", T.DoubleType()),
                            T.StructField("predicted", T.IntegerType()), T.StructField("passages", T.ArrayType(passage))])
     return slim.mapInArrow(run, schema)
+
+
+def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose score reaches the threshold; all columns of the others stay."""
+    at = docs.columns.index(text)
+
+    def run(batches):
+        weights = _Weights(model)
+        for batch in batches:
+            keep = []
+            for b in batch.column(at):
+                x, _ = significance(model, (b.as_py() or "").encode(), weights)
+                keep.append(model.probability(x) < THRESHOLD)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
