@@ -56,8 +56,8 @@ def auto_bin_plan(df: DataFrame, cols: list[str]) -> DataFrame:
     return plan.select("feature", "n", "lo", "hi", bins.alias("bins"))
 
 
-def histogram_auto(df: DataFrame, cols: list[str], first: int = 10) -> DataFrame:
-    """Histograms of the first numeric columns with data-driven bin counts; non-empty bins."""
+def histogram_auto(df: DataFrame, cols: list[str], first: int | None = None) -> DataFrame:
+    """Histograms of the columns, or of the ``first`` ones, with data-driven bin counts; non-empty bins."""
     cols = cols[:first]
     plan = auto_bin_plan(df, cols).select("feature", "lo", "hi", "bins")
     rows = to_long(df, cols).where("value IS NOT NULL")
@@ -120,7 +120,9 @@ def box_stats(df: DataFrame, value: str, by: list[str] = (), few_groups: bool =
     q = q.select(*by, F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3"),
                  (F.col("p25") - 1.5 * iqr).alias("_lo"), (F.col("p75") + 1.5 * iqr).alias("_hi"))
     if by:
-        located = rows.join(F.broadcast(q), by) if few_groups else lookup_join(rows, q, by, "inner")
+        # Null group keys are groups too, so the join has to match them.
+        rows, q = rows.withColumn("_k", F.struct(*by)), q.withColumn("_k", F.struct(*by)).drop(*by)
+        located = rows.join(F.broadcast(q), "_k") if few_groups else lookup_join(rows, q, "_k", "inner")
     else:
         located = attach_row(rows, q).select("_v", "_p.*")
     v, within = F.col("_v"), F.col("_v").between(F.col("_lo"), F.col("_hi"))
@@ -211,7 +213,7 @@ def capped_grid(df: DataFrame, x: str, y: str, value: str, dx: float, dy: float,
     ).agg(F.avg("v").alias("mean_value"), F.count(F.lit(1)).alias("n"))
 
 
-def pair_bins(df: DataFrame, cols: list[str], bins: int = 20, first: int = 5) -> DataFrame:
+def pair_bins(df: DataFrame, cols: list[str], bins: int = 20, first: int | None = None) -> DataFrame:
     """2-D bin counts for every pair of columns and histograms on the diagonal,
     over the rows where all the columns are present."""
     cols = cols[:first]

@@ -148,11 +148,10 @@ def points_within_radius_grid(spark, sf):
 
 @query
 def left_join_zero_fill(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
     labels = table(spark, sf, "labels")
     df = docs.join(labels, "doc_id", "left").fillna({"quality": 0, "toxic": 0})
     per_source = enrich.group_count(table(spark, sf, "documents").where("lang = 'en'"), "source", "n_en")
-    df = df.join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
     return enrich.attach(df, per_source, "source", {"n_en": 0})
 
 
@@ -268,9 +267,7 @@ def value_counts_with_null(spark, sf):
 def flag_impact(spark, sf):
     df = pl.clean_listings(view(spark, sf, "listings"))
     df = df.withColumn("host_is_superhost", parse.flag_tf("host_is_superhost"))
-    flags = ["has_luxury_words", "has_balcony", "has_view", "has_garden", "has_hot_tub",
-             "host_is_superhost", "is_central_london"]
-    return rounded(profile.flag_impact(df, flags, "price"), 4, "median", "mean")
+    return rounded(profile.flag_impact(df, eda.FLAGS, "price"), 4, "median", "mean")
 
 
 @query

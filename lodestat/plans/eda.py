@@ -27,8 +27,13 @@ def price_by_category(df: DataFrame, col: str, n: int, by: str, target: str = "p
     return charts.box_stats(kept, target, [col], few_groups=True)
 
 
-def eda_pack(df: DataFrame, target: str = "price") -> dict[str, DataFrame]:
-    """Lazy result tables by name; tables whose columns are absent are left out."""
+def eda_pack(df: DataFrame, target: str = "price", first_histograms: int | None = None,
+             first_pairs: int | None = None, first_categories: int | None = None,
+             top_values: int | None = None, top_areas: int | None = None) -> dict[str, DataFrame]:
+    """Lazy result tables by name; tables whose columns are absent are left out.
+
+    The numbers limit what is listed, for plots; by default nothing is left out.
+    """
     key = "id" if "id" in df.columns else None
     mask = {"null_mask": profile.null_mask(df, key)} if key else {}
     df = df.drop(*DROP_COLUMNS)
@@ -41,12 +46,12 @@ def eda_pack(df: DataFrame, target: str = "price") -> dict[str, DataFrame]:
         "price_density": charts.kde(df, target),
         "price_iqr": profile.iqr_report(df, target),
         "price_violin": charts.violin(df, target),
-        "histograms": charts.histogram_auto(df, every),
+        "histograms": charts.histogram_auto(df, every, first_histograms),
         "flag_impact": profile.flag_impact(df, FLAGS, target),
         "price_vs_numeric": charts.numeric_vs_target(df, numbers, target),
         "correlation": profile.correlation(df, [target, *numbers]),
         "top_correlates": profile.target_correlates(df, target, numbers),
-        "pairs": charts.pair_bins(df, every),
+        "pairs": charts.pair_bins(df, every, first=first_pairs),
     }
     for col, n, by in CATEGORIES:
         if col in df.columns:
@@ -56,10 +61,13 @@ def eda_pack(df: DataFrame, target: str = "price") -> dict[str, DataFrame]:
     if {"reviews_per_month", "availability_365"} <= set(df.columns):
         out["reviews_vs_availability"] = charts.capped_grid(
             df, "availability_365", "reviews_per_month", target, 5, 0.5)
-    for c in categorical_columns(df)[:5]:
-        out[f"top_values_{c}"] = profile.value_counts(df, c).limit(10)
+    def shown(counts: DataFrame, n: int | None) -> DataFrame:
+        return counts if n is None else counts.limit(n)
+
+    for c in categorical_columns(df)[:first_categories]:
+        out[f"top_values_{c}"] = shown(profile.value_counts(df, c), top_values)
     if "area" in df.columns:
-        out["listings_per_area"] = profile.value_counts(df, "area", keep_null=True).limit(20)
+        out["listings_per_area"] = shown(profile.value_counts(df, "area", keep_null=True), top_areas)
     if "dominant_season" in df.columns:
         out["listings_per_season"] = profile.ordered_counts(df, "dominant_season", SEASONS)
     return out

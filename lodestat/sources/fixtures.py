@@ -62,9 +62,10 @@ SELECT n_nationkey AS spot_id,
 FROM nation
 """)
 VIEWS["income_house"] = ("customer", """
-SELECT concat('NATION_', CAST(c_nationkey AS STRING)) AS borough,
+SELECT CASE WHEN c_nationkey < 23 THEN concat('NATION_', CAST(c_nationkey AS STRING))
+       ELSE concat('OUTSIDE_', CAST(c_nationkey AS STRING)) END AS borough,
   c_acctbal * 100 AS median_house_price, c_acctbal * 10 AS mean_household_income
-FROM customer WHERE c_nationkey < 23
+FROM customer
 """)
 
 

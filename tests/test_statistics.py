@@ -171,3 +171,18 @@ def test_auto_bins_match_the_rule(spark):
                 (x.max() - x.min()) / (math.log2(500) + 1))
     got = charts.auto_bin_plan(frame(spark, values), ["x"]).first()
     assert got["bins"] == math.ceil((x.max() - x.min()) / width)
+
+
+def test_box_stats_keep_the_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 3.0), ("a", 50.0)], "g string, v double")
+    for few in (False, True):
+        got = {r["g"]: (r["median"], r["n"]) for r in charts.box_stats(df, "v", ["g"], few_groups=few).collect()}
+        assert got == {None: (1.5, 2), "a": (26.5, 2)}
+
+
+def test_digests_keep_equal_rows_equal(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(0.0, "x" * 5000, None), (-0.0, "x" * 5000, None), (nan, "NaN", 1), (nan, "NaN", 1), (None, None, 1)],
+                               "a double, b string, _row int")
+    assert clean.dedup_rows(df).count() == 3 and clean.dedup_rows(df).columns == df.columns
+    assert clean.duplicate_count(df).first()["duplicate_rows"] == 2
