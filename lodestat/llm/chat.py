@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lodestat.llm.common import utf8
+from lodestat.llm.common import in_batches, utf8
 
 #: A turn is ``### role``, a new line, the text, ``</turn>`` and a new line. Inside roles
 #: and texts ``\\``, ``\h`` and ``\l`` stand for a backslash, ``#`` and ``<``, and in roles ``\n`` for
@@ -135,7 +135,7 @@ def format_chats(conversations: DataFrame, key: str = "conv_id", turn: str = "tu
         for rows in _parts(seen()):
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([kind, *kinds]))
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.transform(in_batches, run, schema)
 
 
 def unescape(data: bytes) -> bytes:
@@ -207,4 +207,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
         return pa.schema([kind, ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
                           ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
-    return formatted.select("conv_id", "part", "formatted", "loss").mapInArrow(run, schema)
+    return formatted.select("conv_id", "part", "formatted", "loss").transform(in_batches, run, schema)

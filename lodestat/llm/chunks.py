@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from lodestat.llm.common import row_key, slabs, utf8, with_decision
+from lodestat.llm.common import in_batches, row_key, slabs, utf8, with_decision
 from lodestat.session import settle_table
 
 WINDOW = 32
@@ -109,7 +109,7 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", f
     """
     keyed = row_key(docs, key, text)
     schema = keyed.select("k_id", "k_sha").schema.add("chunks", T.ArrayType(_CHUNK))
-    recipes = settle_table(keyed.mapInArrow(_recipes(fp_bits), schema).withColumn("rid", F.monotonically_increasing_id()))
+    recipes = settle_table(keyed.transform(in_batches, _recipes(fp_bits), schema).withColumn("rid", F.monotonically_increasing_id()))
     ids = _identified(recipes)
     # The lists are compared themselves; the hash only makes the join keys short.
     ids = settle_table(ids.withColumn("h", F.xxhash64("ids")))

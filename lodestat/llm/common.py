@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestat.operators.sizing import broadcast_checked
 
-SLAB_BYTES = 4 << 20
+SLAB_BYTES = 2 << 20
+BATCH_BYTES = 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,13 @@ def with_decision(docs: DataFrame, decisions: DataFrame, how: str, key: str = "d
     return docs.alias("kept_docs").join(wanted, same, how)
 
 
+def in_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` in batches of bounded bytes, since rows may hold long texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of neighbouring values of a binary column with about ``limit`` bytes each, with the first row's number."""
     first, held, size = 0, [], 0
@@ -61,7 +69,7 @@ def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[tuple[int, list
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound and computed again beyond it."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from lodestat.llm.common import WordHashes, mixed, row_key, slabs, with_decision
+from lodestat.llm.common import WordHashes, in_batches, mixed, row_key, slabs, with_decision
 from lodestat.llm.components import components
 from lodestat.operators.sizing import broadcast_checked
 from lodestat.session import settle_table
@@ -23,6 +23,8 @@ ERRORS, TRUSTED = 6.0, BUCKETS
 ROUNDS = 2
 _REST = 64 - BUCKET_BITS
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xA0761D6478BD642F)]
+_NUMBERS = np.arange(BUCKETS, dtype=np.uint64)
+_STARTS = _NUMBERS << np.uint64(_REST)
 #: For each bucket, the order in which an empty one borrows from the others.
 _BORROW = np.argsort(np.random.Generator(np.random.PCG64(11)).random((BUCKETS, BUCKETS)), axis=1)
 
@@ -34,25 +36,28 @@ def shingles(body: bytes, size: int, hashes: dict) -> np.ndarray:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     k = min(size, len(words))
-    mix = np.full(len(h) - k + 1, k, np.uint64)
+    total = np.full(len(h) - k + 1, k, np.uint64)
     for i in range(k):
-        mix = mixed(mix + h[i:len(h) - k + 1 + i] * _K[i % len(_K)])
-    return np.unique(mix)
+        total = total * _K[1] + h[i:len(h) - k + 1 + i] * _K[0]
+    total = mixed(total)
+    total.sort()
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def sketch(values: np.ndarray) -> np.ndarray:
     """One 16-bit register per bucket of the hash space: leading zeros of the bucket's least value and the bits after its first one."""
-    first = np.searchsorted(values, np.arange(BUCKETS, dtype=np.uint64) << np.uint64(_REST))
-    bucket = np.append(values, np.uint64(0))[first] >> np.uint64(_REST)
-    full = (first < len(values)) & (bucket == np.arange(BUCKETS, dtype=np.uint64))
-    least = (np.append(values, np.uint64(0))[first] & np.uint64((1 << _REST) - 1)).astype(np.float64) + 1
+    first = np.searchsorted(values, _STARTS)
+    found = values[np.minimum(first, len(values) - 1)]
+    full = (first < len(values)) & (found >> np.uint64(_REST) == _NUMBERS)
+    least = (found & np.uint64((1 << _REST) - 1)).astype(np.float64) + 1
     part, power = np.frexp(least)
     zeros = np.clip(_REST + 1 - power, 0, 63)
     code = (zeros.astype(np.int64) << MANTISSA) | np.minimum((part * 2 - 1) * (1 << MANTISSA), (1 << MANTISSA) - 1).astype(np.int64)
     code = code.astype(np.uint16)
-    if not full.all():
-        donors = _BORROW[np.arange(BUCKETS), full[_BORROW].argmax(axis=1)]
-        code = np.where(full, code, code[donors])
+    empty = np.flatnonzero(~full)
+    if len(empty):
+        order = _BORROW[empty]
+        code[empty] = code[order[np.arange(len(empty)), full[order].argmax(axis=1)]]
     return code
 
 
@@ -125,7 +130,7 @@ class _Search:
 
     def __init__(self, keyed: DataFrame, classes: DataFrame, size: int, percent: int):
         self.keyed, self.classes, self.size, self.percent = keyed, classes, size, percent
-        pairs = classes.select("node", "n", "code").mapInArrow(_bands, "node bigint, n bigint, key bigint")
+        pairs = classes.select("node", "n", "code").transform(in_batches, _bands, "node bigint, n bigint, key bigint")
         common = pairs.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
         self.shared = settle_table(pairs.join(common, "key"))
         self.tested = self.links = None
@@ -135,7 +140,7 @@ class _Search:
         code = lambda s: self.classes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("code").alias(f"code_{s}"))
         close = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
         near = settle_table(pairs.join(code("a"), "a").join(code("b"), "b").filter(close)
-                            .mapInArrow(_promising(self.percent / 100), "a bigint, b bigint, n_a bigint, n_b bigint"))
+                            .transform(in_batches, _promising(self.percent / 100), "a bigint, b bigint, n_a bigint, n_b bigint"))
         sets = self.sets_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct())
         side = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
         both = near.join(side("a"), "a").join(side("b"), "b")
@@ -146,7 +151,7 @@ class _Search:
         """``(node, shingles)``: the full sets of classes, from the text of one member each."""
         rows = self.classes.join(nodes, "node", "left_semi").select("node", F.col("rep.k_id").alias("w_id"), F.col("rep.k_sha").alias("w_sha"))
         texts = self.keyed.join(broadcast_checked(rows), F.col("k_id").eqNullSafe(F.col("w_id")) & (F.col("k_sha") == F.col("w_sha")))
-        return settle_table(texts.select("node", "body").mapInArrow(_sets(self.size), "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
+        return settle_table(texts.select("node", "body").transform(in_batches, _sets(self.size), "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
 
     def across(self, members: DataFrame) -> DataFrame:
         """All pairs ``(a, b)`` of different components that can still link, among ``members (node, n, comp)``.
@@ -231,7 +236,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     keyed = row_key(docs, key, text)
     schema = T.StructType([keyed.schema["k_id"], keyed.schema["k_sha"], T.StructField("n", T.LongType()),
                            T.StructField("set_id", T.BinaryType()), T.StructField("code", T.BinaryType())])
-    rows = settle_table(keyed.mapInArrow(_sketched(size), schema))
+    rows = settle_table(keyed.transform(in_batches, _sketched(size), schema))
     classes = settle_table(rows.filter("n > 0").groupBy("n", "set_id").agg(
         F.min("k_id").alias("min_id"), F.min(F.struct("k_id", "k_sha")).alias("rep"), F.first("code").alias("code"))
         .withColumn("node", F.monotonically_increasing_id()))

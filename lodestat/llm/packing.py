@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from lodestat.llm.common import row_key, slabs, union_all
+from lodestat.llm.common import in_batches, row_key, slabs, union_all
 from lodestat.llm.tokens import encoder
 from lodestat.operators.sizing import broadcast_checked
 from lodestat.session import settle_table
@@ -182,7 +182,7 @@ def pack(docs: DataFrame, file: str, key: str = "doc_id", text: str = "text", wi
     keyed = row_key(docs, key, text)
     fields = [keyed.schema["k_id"], keyed.schema["k_sha"], T.StructField("tokens", T.LongType()),
               T.StructField("crcs", T.ArrayType(T.LongType())), T.StructField("tail_crc", T.LongType())]
-    rows = settle_table(keyed.mapInArrow(_tokenized(file, end_id, window), T.StructType(fields))
+    rows = settle_table(keyed.transform(in_batches, _tokenized(file, end_id, window), T.StructType(fields))
                         .withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()))
     tail = F.col("tokens") % window
     rows = rows.withColumn("tail", tail).withColumn("tail_start", F.col("tokens") - tail)
@@ -238,7 +238,7 @@ def pack(docs: DataFrame, file: str, key: str = "doc_id", text: str = "text", wi
     wanted = (pieces.filter("is_cut").groupBy("k_id", "k_sha").agg(F.collect_set(F.struct("start", "length")).alias("cuts"))
               .withColumnsRenamed({"k_id": "w_id", "k_sha": "w_sha"}))
     again = keyed.join(broadcast_checked(wanted), F.col("k_id").eqNullSafe(F.col("w_id")) & (F.col("k_sha") == F.col("w_sha"))).drop("w_id", "w_sha")
-    sums = again.mapInArrow(_cut_sums(file, end_id), T.StructType(
+    sums = again.transform(in_batches, _cut_sums(file, end_id), T.StructType(
         [fields[0], fields[1], *(T.StructField(c, T.LongType()) for c in ("start", "length", "cut_crc"))])).distinct()
     p, s = pieces.filter("is_cut").alias("p"), sums.alias("s")
     cut = p.join(s, F.col("p.k_id").eqNullSafe(F.col("s.k_id")) & (F.col("p.k_sha") == F.col("s.k_sha"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lodestat.llm.anchors import blocks, runs
-from lodestat.llm.common import slabs, utf8
+from lodestat.llm.common import in_batches, slabs, utf8
 from lodestat.operators.sizing import broadcast_checked
 from lodestat.session import settle_table
 
@@ -91,7 +91,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     from then on. So most bytes of the input never become a row.
     """
     keyed = _keyed(docs, key, text)
-    all_runs = settle_table(keyed.select("k", "body").mapInArrow(_run_rows(length), _RUN))
+    all_runs = settle_table(keyed.select("k", "body").transform(in_batches, _run_rows(length), _RUN))
     live = settle_table(_rerank(all_runs, ["fp"]))
     kinds = live.groupBy("fp", "whole").agg(F.count("*").alias("c"), F.min(F.struct("k", "start", "n", "back")).alias("one"))
     kinds = settle_table(kinds)
@@ -101,7 +101,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     onward = kinds.join(open_, "fp", "left_semi").select("one.*", "fp", (F.col("c") > 1).alias("rep"))
     wanted = onward.groupBy("k").agg(F.collect_list(F.struct("start", "n", "back", "fp", "rep")).alias("runs"))
     texts = keyed.select("k", "body").join(broadcast_checked(wanted), "k").dropDuplicates(["k"])
-    cut = settle_table(texts.mapInArrow(_block_rows(length), _BLOCK))
+    cut = settle_table(texts.transform(in_batches, _block_rows(length), _BLOCK))
 
     same = _rerank(cut.select("k", "fp", "block", "core", "high", "n", "whole", "start", "rep"), ["fp", "block", "core"])
     parts = settle_table(same.groupBy("fp", "block", "core", "high", "n", "whole").agg(
@@ -117,7 +117,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     found = settled.unionByName(equal).unionByName(ones)
     grouped = found.groupBy("k").agg(F.collect_list(F.struct("start", "n")).alias("found"))
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("behind", T.LongType())]))
-    return grouped.mapInArrow(_merged(length), T.StructType([T.StructField("k", T.BinaryType()), T.StructField("spans", span)]))
+    return grouped.transform(in_batches, _merged(length), T.StructType([T.StructField("k", T.BinaryType()), T.StructField("spans", span)]))
 
 
 def _without(batches):
@@ -154,5 +154,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                                                 F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"))
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_spans", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
-    cut = tied.filter("spans is not null").select("doc_id", "n_bytes", "n_spans", "body", "spans").mapInArrow(_without, schema)
+    cut = tied.filter("spans is not null").select("doc_id", "n_bytes", "n_spans", "body", "spans").transform(in_batches, _without, schema)
     return clean.unionByName(cut)

@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 _LONGEST_KEPT = 64
 _JOINED = 2_000
 
 
+def _byte_signs() -> list[str]:
+    """The sign that a byte-level vocabulary writes for each byte: itself if printable, else the next one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    later = iter(range(256, 512))
+    return [chr(b if b in plain else next(later)) for b in range(256)]
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space and joins no word over it.
 
     Texts are cut at ASCII white space; the tokenizer itself encodes each new word, many
     at a time with a special token between them, so ids equal those of the whole text. The
-    special token's own string inside a word is encoded alone.
+    special token's own string inside a word is encoded alone, and words of Latin
+    letters that are in lower case already go to the tokenizer's model directly.
     """
 
     def __init__(self, file: str, between: str = "<|endoftext|>"):
@@ -23,13 +33,18 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(file)
         self.between, self.mark = between, self.tokenizer.token_to_id(between)
         self.known: dict[bytes, bytes] = {}
+        self.model, self.signs = self.tokenizer.model, _byte_signs()
 
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
         found = {}
         plain = []
         for w in words:
-            if b"<|" in w or len(w) > 1000:
-                found[w] = np.array(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+            text = w.decode("utf-8", "replace")
+            if text.isalpha() and text == text.lower() and max(text) < "\u0250" and unicodedata.is_normalized("NFC", text):
+                signs = text if text.isascii() else "".join([self.signs[b] for b in w])
+                found[w] = np.array([t.id for t in self.model.tokenize(signs)], "<u4").tobytes()
+            elif b"<|" in w or len(w) > 1000:
+                found[w] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             else:
                 plain.append(w)
         for at in range(0, len(plain), _JOINED):
@@ -42,18 +57,33 @@ class WordIds:
             found.update((w, data[4 * b:4 * e]) for w, b, e in zip(part, begin, end, strict=True))
         return found
 
+    def _add(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that aren't known yet; a sign behind an ASCII letter is a token of its own, so most such words reduce to others."""
+        stems = {w: w[:-1] for w in new if w[-1:] in (b",", b".") and w[-2:-1].isalpha()}
+        wanted = {w for w in new if w not in stems}
+        wanted.update(w for w in stems.values() if w not in self.known)
+        wanted.update(x for x in (b",", b".") if x not in self.known)
+        found = self._encode(sorted(wanted))
+        for w, stem in stems.items():
+            sign = w[-1:]
+            found[w] = (self.known.get(stem) or found[stem]) + (self.known.get(sign) or found[sign])
+        if len(self.known) < REMEMBERED:
+            self.known.update((w, i) for w, i in found.items() if len(w) <= _LONGEST_KEPT)
+        return found
+
     def encode(self, bodies: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [b.split() for b in bodies]
-        fresh: dict[bytes, bytes] = {}
-        new = {w for words in split for w in words if w not in self.known}
-        if new:
-            fresh = self._encode(sorted(new))
-            if len(self.known) < REMEMBERED:
-                self.known.update((w, i) for w, i in fresh.items() if len(w) <= _LONGEST_KEPT)
-        if all(w in self.known for w in fresh):
-            return [b"".join(map(self.known.__getitem__, words)) for words in split]
-        return [b"".join([self.known[w] if w in self.known else fresh[w] for w in words]) for words in split]
+        # The tokenizer lower-cases, but looks for its special tokens before that.
+        split = [(b if b"<|" in b else b.lower()).split() for b in bodies]
+        known = self.known.get
+        parts = [list(map(known, words)) for words in split]
+        open_ = [i for i, p in enumerate(parts) if None in p]
+        if open_:
+            new = {w for i in open_ for w, p in zip(split[i], parts[i]) if p is None}
+            fresh = self._add(new)
+            for i in open_:
+                parts[i] = [fresh[w] if p is None else p for w, p in zip(split[i], parts[i])]
+        return list(map(b"".join, parts))
 
 
 _ENCODERS: dict[str, WordIds] = {}

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lodestat.llm.common import utf8
+from lodestat.llm.common import in_batches, utf8
 from lodestat.session import settle_table
 
 #: Labelled rows to learn from, by a hash of the id; the only sample here.
@@ -133,7 +133,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: st
     # Its size is bounded by ``most``.
     rows = docs.select(F.col(key).alias("l_id"), utf8(text).alias("body")).join(F.broadcast(known), "l_id")
     kind = rows.schema["l_id"]
-    sketched = settle_table(rows.mapInArrow(_with_shingle, T.StructType([kind, *rows.drop("l_id").schema.fields, T.StructField("m", T.LongType())])))
+    sketched = settle_table(rows.transform(in_batches, _with_shingle, T.StructType([kind, *rows.drop("l_id").schema.fields, T.StructField("m", T.LongType())])))
     first = sketched.groupBy("m", "y").agg(F.min("l_id").alias("l_id"))
     return sketched.join(F.broadcast(first), ["m", "y", "l_id"]).select("body", "y")
 
@@ -199,7 +199,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     labels, or with one class only, the lexicon is empty.
     """
     sample = settle_table(_labelled(docs, labels, key, text, label, most))
-    counts = settle_table(sample.mapInArrow(_count_terms, "term binary, y1 bigint, y0 bigint")
+    counts = settle_table(sample.transform(in_batches, _count_terms, "term binary, y1 bigint, y0 bigint")
                           .groupBy("term").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")))
     totals = counts.agg(F.sum("y1").alias("n1"), F.sum("y0").alias("n0")).first()
     n1, n0 = float(totals["n1"] or 0), float(totals["n0"] or 0)
@@ -208,7 +208,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return model
     top = lambda rows, most: rows.filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(most)
     candidates = frozenset(bytes(r["term"]) for r in top(_log_odds(counts.filter("y1 >= 2"), n1, n0), MAX_CANDIDATES).select("term").collect())
-    by_context = (sample.mapInArrow(_contexts(candidates), "term binary, near bigint, y int")
+    by_context = (sample.transform(in_batches, _contexts(candidates), "term binary, near bigint, y int")
                   .groupBy("term", "near").agg(F.max(F.when(F.col("y") == 1, 1).otherwise(0)).alias("y1"),
                                                F.max(F.when(F.col("y") == 0, 1).otherwise(0)).alias("y0"))
                   .groupBy("term").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")))
@@ -242,7 +242,7 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([round(min(max(v, -50), 200) / _BIN) for v in x], pa.int64()), batch.column("y").cast(pa.int64())], names=["x", "y"])
 
-    bins = sample.mapInArrow(run, "x bigint, y bigint").groupBy("x").agg(F.sum("y").alias("y1"), F.count("*").alias("n")).orderBy("x").collect()
+    bins = sample.transform(in_batches, run, "x bigint, y bigint").groupBy("x").agg(F.sum("y").alias("y1"), F.count("*").alias("n")).orderBy("x").collect()
     x = np.array([[r["x"] * _BIN, 1.0] for r in bins])
     y1, n = np.array([r["y1"] for r in bins], float), np.array([r["n"] for r in bins], float)
     beta, ridge = np.array([0.0, 0.0]), np.diag([0.05, 0.005])
@@ -281,7 +281,7 @@ def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
     passage = T.StructType([T.StructField("first", T.LongType()), T.StructField("behind", T.LongType()), T.StructField("excess", T.DoubleType())])
     schema = T.StructType([slim.schema["doc_id"], slim.schema["k_sha"], T.StructField("score", T.DoubleType()),
                            T.StructField("predicted", T.IntegerType()), T.StructField("passages", T.ArrayType(passage))])
-    return slim.mapInArrow(run, schema)
+    return slim.transform(in_batches, run, schema)
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -297,4 +297,4 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 keep.append(model.probability(x) < THRESHOLD)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(in_batches, run, docs.schema)

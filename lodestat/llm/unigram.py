@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from lodestat.llm.common import in_batches
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 400_000
@@ -122,4 +124,4 @@ def count_tokens(docs: DataFrame, model_file: str, key: str = "doc_id", text: st
 
     slim = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("body"))
     schema = T.StructType([slim.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())])
-    return slim.mapInArrow(run, schema)
+    return slim.transform(in_batches, run, schema)
