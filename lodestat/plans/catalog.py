@@ -542,8 +542,19 @@ def kmeans_elbow(spark, sf):
 
 @query
 def segmentation_report(spark, sf):
-    report = segmentation.segmentation_report(pl.clean_listings(view(spark, sf, "listings")), restarts=2, ks=(2, 3, 4))
-    return report["segmented"]
+    """Every table of the report, with all restarts and cluster counts, as one long table."""
+    return long_tables(segmentation.segmentation_report(pl.clean_listings(view(spark, sf, "listings"))))
+
+
+def long_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """(part, row, column, value): all tables in one; a row is known by its digest, and doubles are rounded."""
+    out = []
+    for name, df in tables.items():
+        df = df.select(*[F.round(f"`{c}`", 6).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in df.columns])
+        out.append(df.select(F.lit(name).alias("part"), clean.row_digest(df).alias("row"), F.explode(cells).alias("cell"))
+                   .select("part", "row", "cell.column", "cell.value"))
+    return reduce(DataFrame.unionByName, out)
 
 
 # --- models ---------------------------------------------------------------------------------
@@ -648,10 +659,8 @@ def price_model_run(spark, sf):
 
 @query
 def eda_pack(spark, sf):
-    """Rows in every table of the presentation pack."""
+    """Every value of the presentation pack, as one long table."""
     parts = [view(spark, sf, n) for n in
              ("listings", "calendar", "crime", "stations", "tourist_spots", "income_house")]
     enriched = settle_table(pl.cleanse_for_model(pl.enrich_listings(*parts)))
-    pack = eda.eda_pack(enriched)
-    return reduce(DataFrame.unionByName, [
-        df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n_rows")) for name, df in pack.items()])
+    return long_tables(eda.eda_pack(enriched))
