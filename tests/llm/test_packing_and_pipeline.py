@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from conftest import MESSY, SF, documents
+from samples import MESSY, SF, documents
 from lodestat.llm import packing
 from lodestat.llm.queries import QUERIES
 from lodestat.llm.tokens import WordIds

@@ -5,7 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-from conftest import MESSY, documents
+from samples import MESSY, documents
 from lodestat.llm import chunks, sharding
 
 

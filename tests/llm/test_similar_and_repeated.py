@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from conftest import MESSY, documents
+from samples import MESSY, documents
 from lodestat.llm import anchors, components, decontaminate, neardup, substrings
 
 

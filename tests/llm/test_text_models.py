@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import models
 
-from conftest import MESSY, documents
+from samples import MESSY, documents
 from lodestat.llm import toxicity, unigram
 
 FILE = public_tokenizers.path("piece_bpe_32k.model")
