@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 BLOCK = 16
 _PLACE = np.uint64((1 << 22) - 1)
 _BYTES = np.random.Generator(np.random.PCG64(5)).integers(0, 1 << 64, 256, dtype=np.uint64)
