@@ -19,7 +19,7 @@ BUCKETS = 1 << BUCKET_BITS
 BAND_ROWS = 6
 BANDS = BUCKETS // BAND_ROWS
 #: Standard errors that an estimate may fall below the threshold, and the set size from which it is trusted.
-ERRORS, TRUSTED = 6.0, BUCKETS
+ERRORS, TRUSTED = 5.0, BUCKETS
 ROUNDS = 2
 _REST = 64 - BUCKET_BITS
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xA0761D6478BD642F)]
@@ -135,13 +135,14 @@ class _Search:
         self.shared = settle_table(pairs.join(common, "key"))
         self.tested = self.links = None
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``(a, b)`` that link: ``100 * intersection >= percent * union`` on the full sets."""
+    def promising(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that their registers don't rule out, with the sizes of both sets."""
         code = lambda s: self.classes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("code").alias(f"code_{s}"))
-        close = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
-        near = settle_table(pairs.join(code("a"), "a").join(code("b"), "b").filter(close)
+        return settle_table(pairs.join(code("a"), "a").join(code("b"), "b")
                             .transform(in_batches, _promising(self.percent / 100), "a bigint, b bigint, n_a bigint, n_b bigint"))
-        sets = self.sets_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct())
+
+    def verified(self, near: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` that link: ``100 * intersection >= percent * union`` on the full sets."""
         side = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
         both = near.join(side("a"), "a").join(side("b"), "b")
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -153,15 +154,15 @@ class _Search:
         texts = self.keyed.join(broadcast_checked(rows), F.col("k_id").eqNullSafe(F.col("w_id")) & (F.col("k_sha") == F.col("w_sha")))
         return settle_table(texts.select("node", "body").transform(in_batches, _sets(self.size), "node bigint, shingles array<bigint>").dropDuplicates(["node"]))
 
-    def across(self, members: DataFrame) -> DataFrame:
-        """All pairs ``(a, b)`` of different components that can still link, among ``members (node, n, comp)``.
+    def across(self, members: DataFrame, sets: DataFrame) -> DataFrame:
+        """All pairs ``(a, b, n_a, n_b)`` of different components that can still link, among ``members (node, n, comp)``.
 
         Of two sets that link, the rarest shingles of both, as many as the threshold leaves
         unmatched and one more, share one. So sets meet on their rarest shingles only,
         however many of them share a band. Where two sets first meet, what stands before
         is in one of them alone, so the place of the meeting bounds their intersection.
         """
-        shingle = self.sets_of(members.select("node")).select("node", F.explode("shingles").alias("s"))
+        shingle = sets.select("node", F.explode("shingles").alias("s"))
         seen = shingle.groupBy("s").agg(F.count("*").alias("c"))
         need = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
         rarest = (shingle.join(seen, "s").join(members, "node")
@@ -173,7 +174,9 @@ class _Search:
                        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * self.percent)
                        & ((100 + self.percent) * (F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) + 1)
                           >= self.percent * (F.col("x.n") + F.col("y.n"))))
-                .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+                .select(F.least(F.struct("x.node", "x.n"), F.struct("y.node", "y.n")).alias("one"),
+                        F.greatest(F.struct("x.node", "x.n"), F.struct("y.node", "y.n")).alias("two"))
+                .select(F.col("one.node").alias("a"), F.col("two.node").alias("b"), F.col("one.n").alias("n_a"), F.col("two.n").alias("n_b")).distinct())
 
     def labels(self) -> DataFrame:
         """``(node, comp)`` of all nodes that share a band."""
@@ -183,14 +186,19 @@ class _Search:
         known = settle_table(components(self.links))
         return nodes.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
-    def take(self, pairs: DataFrame) -> bool:
-        """Verify pairs that were not tested before; false if there are none."""
+    def take(self, pairs: DataFrame, sets: DataFrame | None = None) -> bool:
+        """Verify pairs that were not tested before; false if there are none. Without given sets, registers come first."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = settle_table(pairs)
         if pairs.isEmpty():
             return False
-        links = settle_table(self.verified(pairs))
+        near = pairs
+        if sets is None:
+            near = self.promising(pairs)
+            sets = self.sets_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct())
+        links = settle_table(self.verified(near, sets))
+        pairs = pairs.select("a", "b")
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         self.links = links if self.links is None else self.links.unionByName(links)
         return True
@@ -205,16 +213,18 @@ class _Search:
         for i in range(ROUNDS):
             labelled = settle_table(self.shared.join(self.labels(), "node"))
             pivots = (labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                                  F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(i))).alias("p"))
-                      .filter("low <> high").select("key", F.col("p.node").alias("p_node"), F.col("p.comp").alias("p_comp")))
-            pairs = labelled.join(pivots, "key").filter("comp <> p_comp").select(
+                                                  F.min_by(F.struct("node", "comp", "n"), F.xxhash64("node", F.lit(i))).alias("p"))
+                      .filter("low <> high").select("key", F.col("p.node").alias("p_node"), F.col("p.comp").alias("p_comp"), F.col("p.n").alias("p_n")))
+            pairs = labelled.join(pivots, "key").filter(
+                (F.col("comp") != F.col("p_comp")) & (F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * self.percent)).select(
                 F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
             if not self.take(pairs):
                 return self.labels()
         labelled = settle_table(self.shared.join(self.labels(), "node"))
         mixed_ = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
         members = settle_table(labelled.join(mixed_, "key", "left_semi").select("node", "n", "comp").distinct())
-        self.take(self.across(members))
+        sets = self.sets_of(members.select("node"))
+        self.take(self.across(members, sets), sets)
         return self.labels()
 
 
