@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestat.llm import chat, chunks, decontaminate, neardup, packing, sharding, substrings, toxicity, unigram, urls
+from lodestat.llm import (
+    bytepairs, chat, chunks, decontaminate, filter_audit, neardup, packing, resampling, sharding, substrings, toxicity, unigram, urls)
 from lodestat.llm.common import read
 
 
@@ -63,5 +64,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepairs.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_shard_by_bytes, op2_url_filter, op3_repeated_substrings, op4_pack, op5_near_duplicates, op6_contamination, op7_exact_duplicates, op8_chat_format, op9_toxic_passages, op10_token_counts)}
+    op1_shard_by_bytes, op2_url_filter, op3_repeated_substrings, op4_pack, op5_near_duplicates, op6_contamination, op7_exact_duplicates,
+    op8_chat_format, op9_toxic_passages, op10_token_counts, op11_byte_pairs, op12_filter_audit, op13_importance_resampling)}
