@@ -15,17 +15,19 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from lodestat.llm.common import in_batches, utf8
 
 #: Characters of a text, and bytes of a match, that are encoded without halving.
-TEXT_LEAF, MATCH_LEAF = 4096, 8
-#: Bytes of a string that is merged without a heap, and how many of these are remembered.
-SHORT, REMEMBERED_PARTS = 24, 60_000
+TEXT_LEAF, MATCH_LEAF = 4096, 6
+#: Bytes of a string that is merged without a heap, and how many leaves and pairs of tokens are remembered.
+SHORT, REMEMBERED_PARTS, REMEMBERED_PAIRS = 32, 150_000, 200_000
+#: Bits of a rank in the key of a pair.
+SHIFT = 20
 #: Characters behind a match's start that may decide between alternatives of the pattern: its longest literal.
 REACH = 3
 NONE = 1 << 62
-#: Bytes of remembered matches in one task, and the longest match that is remembered.
-REMEMBERED_BYTES, LONGEST_KEPT = 24 << 20, 48
+#: Bytes of remembered matches in one task, in each of two generations, and the longest match that is remembered.
+REMEMBERED_BYTES, LONGEST_KEPT = 32 << 20, 48
 #: Unicode's white space, for use inside a character class.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_ENTRY_BYTES = 200
+_ENTRY_BYTES = 260
 
 
 def read_ranks(file: str) -> dict[bytes, int]:
@@ -34,6 +36,19 @@ def read_ranks(file: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+def pair_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
+    """The rank of what two neighbouring tokens make, by both ranks in one number."""
+    if max(ranks.values(), default=0) >> SHIFT:
+        raise ValueError(f"ranks of at most {SHIFT} bits")
+    out = {}
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            left, right = ranks.get(token[:i]), ranks.get(token[i:])
+            if left is not None and right is not None:
+                out[left << SHIFT | right] = rank
+    return out
+
+
 def splitter(pattern: str) -> Callable[[str], list[str]]:
     """All matches of ``pattern`` in a text; white space means Unicode's property, and ASCII texts take a plain pattern."""
     def spelled(space: str, letters: str, digits: str) -> str:
@@ -69,37 +84,49 @@ class BytePairs:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, splitter(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.single = [ranks.get(bytes([b])) for b in range(256)]
+        self.merges = pair_ranks(ranks)
+        self.decimals = {rank: b" %d" % rank for rank in self.tokens}
+        self.pairs: dict[int, bool] = {}
         self.merged: dict[bytes, list[int]] = {}
+        # Matches that were met lately, and those before them.
         self.known: dict[str, tuple[bytes, bytes, int]] = {}
+        self.older: dict[str, tuple[bytes, bytes, int]] = {}
+        self.held = 0
+
+    def forget(self) -> "BytePairs":
+        """Drop what was remembered, so that a worker process doesn't keep it between tasks."""
+        for memory in (self.pairs, self.merged, self.known, self.older):
+            memory.clear()
         self.held = 0
+        return self
 
     def merge(self, body: bytes) -> list[int]:
         """Ranks of a string by merging neighbours one at a time, the lowest rank first, the leftmost of equal ones."""
         found = self.merged.get(body)
         if found is None:
             found = self._merge_short(body) if len(body) <= SHORT else self._merge_long(body)
-            if len(body) <= SHORT:
+            if len(body) <= MATCH_LEAF:
                 if len(self.merged) >= REMEMBERED_PARTS:
                     self.merged.clear()
                 self.merged[body] = found
         return found
 
     def _merge_short(self, body: bytes) -> list[int]:
-        parts, rank = [body[i:i + 1] for i in range(len(body))], self.ranks.get
-        found = [rank(body[i:i + 2], NONE) for i in range(len(body) - 1)]
+        ids, rank = [self.single[b] for b in body], self.merges.get
+        found = [rank(a << SHIFT | b, NONE) for a, b in zip(ids, ids[1:])]
         while found:
             best = min(found)
             if best == NONE:
                 break
             at = found.index(best)
-            parts[at:at + 2] = [body_at := parts[at] + parts[at + 1]]
+            ids[at:at + 2] = [best]
             del found[at]
             if at:
-                found[at - 1] = rank(parts[at - 1] + body_at, NONE)
+                found[at - 1] = rank(ids[at - 1] << SHIFT | best, NONE)
             if at < len(found):
-                found[at] = rank(body_at + parts[at + 1], NONE)
-        return [self.ranks[p] for p in parts]
+                found[at] = rank(best << SHIFT | ids[at + 1], NONE)
+        return ids
 
     def _merge_long(self, body: bytes) -> list[int]:
         """The same with a heap of neighbours, for windows over long repeated strings."""
@@ -128,12 +155,14 @@ class BytePairs:
 
     def stable(self, left: int, right: int) -> bool:
         """True when no merge crosses the border of two neighbouring tokens."""
-        pair = (left, right)
-        if pair not in self.pairs:
-            if len(self.pairs) >= 200_000:
+        pair = left << SHIFT | right
+        known = self.pairs.get(pair)
+        if known is None:
+            if len(self.pairs) >= REMEMBERED_PAIRS:
                 self.pairs.clear()
-            self.pairs[pair] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
-        return self.pairs[pair]
+            body = self.tokens[left] + self.tokens[right]
+            known = self.pairs[pair] = (self._merge_short(body) if len(body) <= SHORT else self._merge_long(body)) == [left, right]
+        return known
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbouring strings together, from both encodings."""
@@ -211,13 +240,14 @@ class BytePairs:
 
     def described(self, match: str) -> tuple[bytes, bytes, int]:
         """Decimal ids behind a space each, the bytes that they decode to, and their number; remembered up to a bound."""
-        ids = self.encode_match(match.encode())
-        value = (b"".join(b" %d" % i for i in ids), self.decode(ids), len(ids))
+        value = self.known.get(match) or self.older.get(match)
+        if value is None:
+            ids = self.encode_match(match.encode())
+            value = (b"".join([self.decimals[i] for i in ids]), self.decode(ids), len(ids))
         if len(match) <= LONGEST_KEPT:
-            size = _ENTRY_BYTES + 2 * len(match) + len(value[0]) + len(value[1])
+            size = _ENTRY_BYTES + 2 * len(match) + len(value[0])
             if self.held + size > REMEMBERED_BYTES:
-                self.known.clear()
-                self.held = 0
+                self.known, self.older, self.held = {}, self.known, 0
             self.known[match] = value
             self.held += size
         return value
@@ -225,10 +255,10 @@ class BytePairs:
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, and SHA-256 of the decimal ids joined by spaces and of the decoded bytes."""
         matches = self.matches(text)
-        known, n = self.known, 0
-        ids, bodies = hashlib.sha256(), hashlib.sha256()
+        n, ids, bodies = 0, hashlib.sha256(), hashlib.sha256()
         for at in range(0, len(matches), TEXT_LEAF):
-            found = [known.get(m) or self.described(m) for m in matches[at:at + TEXT_LEAF]]
+            known = self.known.get
+            found = [known(m) or self.described(m) for m in matches[at:at + TEXT_LEAF]]
             numbers = b"".join([f[0] for f in found])
             ids.update(numbers if at else numbers[1:])
             bodies.update(b"".join([f[1] for f in found]))
@@ -236,6 +266,16 @@ class BytePairs:
         return n, ids.hexdigest(), bodies.hexdigest()
 
 
+_CODERS: dict[tuple[str, str], BytePairs] = {}
+
+
+def coder(file: str, pattern: str) -> BytePairs:
+    """One coder for each worker process, since its tables take long to make; it remembers nothing of earlier tasks."""
+    if (file, pattern) not in _CODERS:
+        _CODERS[file, pattern] = BytePairs(read_ranks(file), pattern)
+    return _CODERS[file, pattern].forget()
+
+
 def _texts(batch: pa.RecordBatch):
     for body in batch.column("body"):
         yield body.as_py().decode("utf-8", "replace")
@@ -249,9 +289,9 @@ def encode_texts(docs: DataFrame, file: str, pattern: str, key: str = "doc_id",
     exist on every executor.
     """
     def run(batches):
-        coder = BytePairs(read_ranks(file), pattern)
+        own = coder(file, pattern)
         for batch in batches:
-            ids = [coder.encode(t) for t in _texts(batch)]
+            ids = [own.encode(t) for t in _texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     slim = docs.select(F.col(key).alias("doc_id"), utf8(text).alias("body"))
@@ -261,9 +301,9 @@ def encode_texts(docs: DataFrame, file: str, pattern: str, key: str = "doc_id",
 def decode_ids(encoded: DataFrame, file: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``doc_id, body``: the bytes that lists of ids stand for; a null list stands for none, an unknown id is an error."""
     def run(batches):
-        coder = BytePairs(read_ranks(file), "")
+        own = coder(file, "")
         for batch in batches:
-            bodies = [coder.decode(i.as_py() or []) for i in batch.column("ids")]
+            bodies = [own.decode(i.as_py() or []) for i in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bodies, pa.binary())], names=["doc_id", "body"])
 
     slim = encoded.select(F.col(key).alias("doc_id"), F.col(ids).alias("ids"))
@@ -276,9 +316,9 @@ def round_trip(docs: DataFrame, file: str, pattern: str, key: str = "doc_id", te
     Ids are digested match by match, so no list of a long text's ids leaves the task.
     """
     def run(batches):
-        coder = BytePairs(read_ranks(file), pattern)
+        own = coder(file, pattern)
         for batch in batches:
-            found = [coder.digest(t) for t in _texts(batch)]
+            found = [own.digest(t) for t in _texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string()),
                  pa.array([f[2] for f in found], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
