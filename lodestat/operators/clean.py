@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lodestat.functions.parse import nan_to_null
+from lodestat.functions.rowkey import can_encode, row_digest
 from lodestat.operators.quantiles import median_row
 from lodestat.session import attach_row
 
@@ -44,22 +45,21 @@ def fill_mode(df: DataFrame, col: str, fit_on: DataFrame | None = None) -> DataF
     return df.withColumn(col, F.coalesce(F.col(col), mode))
 
 
-def row_digest(df: DataFrame) -> Column:
-    """256 bits that are equal for equal rows: nulls are equal, and so are zeros of both signs."""
-    plain = [(F.col(f"`{f.name}`") + F.lit(0.0)).alias(f"c{i}") if f.dataType.typeName() in ("double", "float")
-             else F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(df.schema.fields)]
-    return F.sha2(F.to_json(F.struct(*plain), {"ignoreNullFields": "false"}), 256)
-
-
 def dedup_rows(df: DataFrame) -> DataFrame:
-    """Distinct rows; nulls are equal. Copies collapse before the shuffle, whose key is a short digest of the row."""
+    """Distinct rows; nulls are equal. Copies collapse before the shuffle, whose key is a short digest of the row.
+
+    Types without a canonical encoding are left to Spark's own comparison of whole rows.
+    """
+    if not can_encode(df.schema):
+        return df.dropDuplicates()
     name = "_".join(["_row", *df.columns])
     return df.withColumn(name, row_digest(df)).dropDuplicates([name]).drop(name)
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """One row: rows, distinct rows and how many are repeats."""
-    copies = df.select(row_digest(df).alias("_row")).groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.select(row_digest(df).alias("_row")) if can_encode(df.schema) else df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    copies = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
     return copies.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
         F.count(F.lit(1)).alias("distinct_rows"),

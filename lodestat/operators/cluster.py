@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -13,13 +12,14 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lodestat.operators.profile import group_means, value_counts
 from lodestat.operators.sizing import lookup_join
 from lodestat.session import attach_row
 
-MAX_CENTRES = 1000
+# Rounds of seeding, and candidates drawn in each for every centre wanted.
+SEED_ROUNDS, OVERSAMPLING = 5, 2
 
 
 def with_array(df: DataFrame, cols: list[str], name: str = "x") -> DataFrame:
@@ -34,6 +34,51 @@ def pca_ratios(df: DataFrame, size: int, features: str = "x") -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "component int, ratio double, cumulative double")
 
 
+def pca_randomized(df: DataFrame, k: int, features: str = "x", oversampling: int = 10, passes: int = 2,
+                   seed: int = 42) -> tuple[DataFrame, np.ndarray]:
+    """(component, ratio, cumulative) and loadings of the first ``k`` components, for widths whose square no driver holds.
+
+    A randomised range finder: every pass over the rows gives the product of the centred
+    table's covariance with a thin matrix of ``k + oversampling`` columns, which is made
+    orthogonal and goes into the next pass; the last pass also gives the covariance
+    inside that span, whose eigenvectors are the components. Ratios are never above
+    the true ones; each pass shrinks what is missing by the square of the ratio of the
+    first left-out eigenvalue to the last one wanted.
+    """
+    spark = df.sparkSession
+    data = df.select(F.col(features).alias("x"))
+    stats = data.agg(Summarizer.metrics("mean", "variance", "count").summary(array_to_vector("x")).alias("s")).first()["s"]
+    mean, total, n = stats["mean"].toArray(), float(stats["variance"].toArray().sum()), stats["count"]
+    thin = min(len(mean), k + oversampling)
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(mean), thin)))[0]
+    for _ in range(passes):
+        shared = spark.sparkContext.broadcast((mean, basis))
+
+        def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            centre, q = shared.value
+            wide, inner = np.zeros_like(q), np.zeros((q.shape[1], q.shape[1]))
+            for batch in batches:
+                x = np.stack(batch["x"]) - centre
+                y = x @ q
+                wide += x.T @ y
+                inner += y.T @ y
+            yield pd.DataFrame([{"row": i, "v": row} for i, row in enumerate(np.concatenate((wide, inner)))])
+
+        sums = data.mapInPandas(product, "row int, v array<double>").groupBy("row").agg(
+            vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).orderBy("row").collect()
+        shared.destroy()
+        table = np.array([r["v"] for r in sums])
+        wide, inner = table[:len(mean)], table[len(mean):]
+        values, vectors = np.linalg.eigh(inner)
+        order = np.argsort(-values)[:k]
+        found, loadings = values[order], basis @ vectors[:, order]
+        basis = np.linalg.qr(wide)[0]
+    ratios = found / max(n - 1, 1) / total if total > 0 else np.zeros(len(found))
+    rows = [(i + 1, float(r), float(c)) for i, (r, c) in enumerate(zip(ratios, np.cumsum(ratios)))]
+    signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), range(loadings.shape[1])])
+    return spark.createDataFrame(rows, "component int, ratio double, cumulative double"), loadings * signs
+
+
 def pca_project(df: DataFrame, k: int = 2, features: str = "x") -> DataFrame:
     """Add pc1..pck of centred features; the largest loading of each is positive."""
     df = df.withColumn("_v", array_to_vector(features))
@@ -54,7 +99,7 @@ class KMeansFit:
     cost: float = math.inf
 
     def predict(self, df: DataFrame, features: str = "x", name: str = "cluster") -> DataFrame:
-        out = assign_nearest(df, {i: list(c) for i, c in enumerate(self.centres)}, features)
+        out = assign_nearest(df, centre_table(df.sparkSession, self.centres), features)
         return out.withColumnRenamed("cluster", name).drop("distance")
 
 
@@ -64,36 +109,71 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0.0)
 
 
-def _seed_centres(data: DataFrame, jobs: dict[int, tuple[int, int]]) -> dict[int, list[list[float]]]:
-    """k-means++ for all the fits at once: one pass per centre.
+def _seed_centres(data: DataFrame, jobs: dict[int, tuple[int, int]]) -> dict[int, np.ndarray]:
+    """k-means|| for all the fits at once: a constant number of passes, whatever k.
 
-    A row wins with a probability proportional to its squared distance when it has
-    the smallest -log(u) / distance, with u fixed by the row's hash and the seed.
+    Each round draws ``OVERSAMPLING * k`` candidates per fit with probabilities in
+    proportion to their squared distance from those drawn before; after the last
+    one, every candidate weighs as many rows as are nearest to it, and weighted
+    k-means++ on the candidates picks the centres. A row's draw is an exponential race:
+    the smallest -log(u) / distance win, with u fixed by the row's hash and the seed.
     """
-    chosen: dict[int, list[list[float]]] = {i: [] for i in jobs}
-    for step in range(max(k for k, _ in jobs.values())):
-        open_jobs = {i: (seed, np.array(chosen[i])) for i, (k, seed) in jobs.items() if k > step}
-        shared = data.sparkSession.sparkContext.broadcast(open_jobs)
+    chosen: dict[int, np.ndarray] = {}
+    for step in range(SEED_ROUNDS + 1):
+        wanted = {i: (seed, 1 if not step else OVERSAMPLING * k, chosen.get(i)) for i, (k, seed) in jobs.items()}
+        shared = data.sparkSession.sparkContext.broadcast(wanted)
 
         def race(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = {}
+            best = {i: (np.empty(0), np.empty((0, 0))) for i in shared.value}
             for batch in batches:
                 x, h = np.stack(batch["x"]), batch["h"].to_numpy()
-                for i, (seed, centres) in shared.value.items():
-                    weight = _distances(x, centres).min(axis=1) if len(centres) else np.ones(len(x))
+                for i, (seed, n, centres) in shared.value.items():
+                    weight = _distances(x, centres).min(axis=1) if centres is not None else np.ones(len(x))
                     with np.errstate(divide="ignore"):
                         time = -np.log(_uniform(h, seed, step)) / weight
-                    at = int(time.argmin())
-                    if i not in best or time[at] < best[i][0]:
-                        best[i] = (float(time[at]), x[at])
-            yield pd.DataFrame([{"model": i, "time": t, "x": row} for i, (t, row) in best.items()],
+                    times, rows = best[i]
+                    at = np.argsort(time, kind="stable")[:n]
+                    times, rows = np.concatenate((times, time[at])), np.concatenate((rows.reshape(-1, x.shape[1]), x[at]))
+                    keep = np.argsort(times, kind="stable")[:n]
+                    best[i] = times[keep], rows[keep]
+            yield pd.DataFrame([{"model": i, "time": t, "x": row} for i, (times, rows) in best.items() for t, row in zip(times, rows) if np.isfinite(t)],
                                columns=["model", "time", "x"])
 
-        winners = data.mapInPandas(race, "model int, time double, x array<double>")
-        for r in winners.groupBy("model").agg(F.min_by("x", "time").alias("x")).collect():
-            chosen[r["model"]].append(r["x"])
+        drawn = data.mapInPandas(race, "model int, time double, x array<double>")
+        place = F.row_number().over(Window.partitionBy("model").orderBy("time", "x"))
+        most = F.element_at(F.create_map(*[F.lit(v) for i, (_, n, _) in wanted.items() for v in (i, n)]), F.col("model"))
+        # Drawn rows only, no more than the tasks times a few per centre; Spark cuts them down before they move.
+        rows = drawn.withColumn("place", place).where(F.col("place") <= max(n for _, n, _ in wanted.values())).where(
+            F.col("place") <= most).orderBy("model", "place").collect()
         shared.destroy()
-    return chosen
+        for i in jobs:
+            new = [r["x"] for r in rows if r["model"] == i]
+            if new:
+                chosen[i] = np.array(new) if i not in chosen else np.concatenate((chosen[i], new))
+    weights = {i: np.zeros(len(c)) for i, c in chosen.items()}
+    for i, near in _assign_all(data, chosen).items():
+        for r in near:
+            weights[i][r["cluster"]] = r["n"]
+    return {i: _recluster(c, weights[i], *jobs[i]) for i, c in chosen.items()}
+
+
+def _recluster(points: np.ndarray, weights: np.ndarray, k: int, seed: int, rounds: int = 20) -> np.ndarray:
+    """Weighted k-means++ and a few weighted Lloyd steps on the candidates of one fit."""
+    rng = np.random.default_rng(seed)
+    centres = points[[int(rng.choice(len(points), p=weights / weights.sum()))]]
+    while len(centres) < k:
+        odds = weights * _distances(points, centres).min(axis=1)
+        total = odds.sum()
+        # Fewer different rows than centres: the rest repeats one of them.
+        at = int(rng.choice(len(points), p=odds / total)) if total > 0 else 0
+        centres = np.concatenate((centres, points[[at]]))
+    for _ in range(rounds):
+        near = _distances(points, centres).argmin(axis=1)
+        for j in range(k):
+            own = weights * (near == j)
+            if own.sum() > 0:
+                centres[j] = (own[:, None] * points).sum(axis=0) / own.sum()
+    return centres
 
 
 def _uniform(h: np.ndarray, seed: int, step: int) -> np.ndarray:
@@ -150,7 +230,7 @@ def kmeans_fits(df: DataFrame, key: str, features: str, ks, restarts: int = 10,
         spread = data.agg(Summarizer.variance(array_to_vector("x"))).first()[0]
         limit = tol * float(np.mean(spread.toArray()))
         jobs = {n: job for n, job in enumerate((k, seed + r) for k in ks for r in range(restarts))}
-        centres = {i: np.array(c) for i, c in _seed_centres(data, jobs).items()}
+        centres = _seed_centres(data, jobs)
         moving = set(centres)
         for _ in range(max_iter):
             found = _assign_all(data, {i: centres[i] for i in moving})
@@ -177,47 +257,102 @@ def kmeans(df: DataFrame, key: str, features: str, k: int, **options) -> KMeansF
 
 
 def elbow_table(df: DataFrame, features: str, fits: dict[int, KMeansFit]) -> DataFrame:
-    """(k, inertia, silhouette_squared) of fitted cluster counts."""
-    def score(fit: KMeansFit) -> tuple:
-        labelled = fit.predict(df.select(features), features).select(
-            array_to_vector(features).alias("features"), "cluster")
-        return fit.k, fit.cost, ClusteringEvaluator(predictionCol="cluster").evaluate(labelled)
-
-    # Independent Spark jobs, submitted together.
-    with ThreadPool(len(fits)) as pool:
-        rows = pool.map(score, fits.values())
+    """(k, inertia, silhouette_squared) of fitted cluster counts, from two passes for all of them."""
+    found = silhouettes_squared(df, features, {k: f.centres for k, f in fits.items()})
+    rows = [(k, float(f.cost), found[k]) for k, f in fits.items()]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_squared double")
 
 
+def silhouettes_squared(df: DataFrame, features: str, centres: dict[int, np.ndarray]) -> dict[int, float]:
+    """The mean silhouette in squared Euclidean distance of several assignments to nearest centres.
+
+    The mean squared distance from a row to a cluster follows from the cluster's size,
+    mean and mean square, so one pass measures all clusters and a second one all rows.
+    A row alone in its cluster scores 0.
+    """
+    data = df.select(F.col(features).alias("x"))
+    shared = data.sparkSession.sparkContext.broadcast(centres)
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {i: (np.zeros(len(c)), np.zeros_like(c), np.zeros(len(c))) for i, c in shared.value.items()}
+        for batch in batches:
+            x = np.stack(batch["x"])
+            for i, c in shared.value.items():
+                member = np.eye(len(c))[_distances(x, c).argmin(axis=1)]
+                n, sums, squares = totals[i]
+                n += member.sum(axis=0)
+                sums += member.T @ x
+                squares += member.T @ (x * x).sum(axis=1)
+        yield pd.DataFrame([{"model": i, "cluster": j, "n": n[j], "mean": sums[j] / n[j], "square": squares[j]}
+                            for i, (n, sums, squares) in totals.items() for j in range(len(n)) if n[j]],
+                           columns=["model", "cluster", "n", "mean", "square"])
+
+    parts = data.mapInPandas(measure, "model int, cluster int, n double, mean array<double>, square double")
+    found = parts.groupBy("model", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("square").alias("square"),
+        vector_to_array(Summarizer.mean(array_to_vector("mean"), F.col("n"))).alias("mean")).collect()
+    sizes = {i: (np.zeros(len(c)), np.array(c), np.zeros(len(c))) for i, c in centres.items()}
+    for r in found:
+        n, means, squares = sizes[r["model"]]
+        n[r["cluster"]], means[r["cluster"]], squares[r["cluster"]] = r["n"], r["mean"], r["square"] / r["n"]
+    measured = data.sparkSession.sparkContext.broadcast(sizes)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {i: [0, 0.0] for i in shared.value}
+        for batch in batches:
+            x = np.stack(batch["x"])
+            for i, c in shared.value.items():
+                n, means, squares = measured.value[i]
+                near, rows = _distances(x, c).argmin(axis=1), np.arange(len(x))
+                mean = np.maximum((x * x).sum(axis=1)[:, None] + squares - 2 * (x @ means.T), 0.0)
+                mean[:, n == 0] = np.inf
+                own = mean[rows, near] * n[near] / np.maximum(n[near] - 1, 1)
+                mean[rows, near] = np.inf
+                other = mean.min(axis=1)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    s = (other - own) / np.maximum(other, own)
+                usable = (n[near] > 1) & np.isfinite(other) & (np.maximum(other, own) > 0)
+                totals[i][0] += len(x)
+                totals[i][1] += float(s[usable].sum())
+        yield pd.DataFrame([(i, float(n), t) for i, (n, t) in totals.items()], columns=["model", "n", "total"])
+
+    rows = data.mapInPandas(score, "model int, n double, total double").groupBy("model").agg(
+        (F.sum("total") / F.sum("n")).alias("s")).collect()
+    shared.destroy()
+    measured.destroy()
+    return {r["model"]: r["s"] for r in rows}
+
+
 def choose_k(elbow: DataFrame) -> int:
     """k with the best silhouette; the smallest one on ties."""
     return elbow.agg(F.max_by("k", F.struct("silhouette_squared", (-F.col("k")).alias("n")))).first()[0]
 
 
-def squared_distance(x: Column, centre: list[float]) -> Column:
-    c = F.array(*[F.lit(float(v)) for v in centre])
-    return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
+def squared_distance(x: Column, centre: Column) -> Column:
+    return F.aggregate(F.zip_with(x, centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
+
+
+def centre_table(spark: SparkSession, centres: np.ndarray) -> DataFrame:
+    """(id, c): a row per centre, numbered from 0."""
+    return spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(centres)], "id int, c array<double>")
 
 
-def group_centres(df: DataFrame, label: str, features: str) -> dict:
-    """Mean vector of each labelled group; a bounded number of groups."""
-    rows = df.groupBy(label).agg(
-        vector_to_array(Summarizer.mean(array_to_vector(features))).alias("c")
-    ).limit(MAX_CENTRES + 1).collect()
-    if len(rows) > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres")
-    return {r[label]: r["c"] for r in sorted(rows, key=lambda r: r[label])}
+def group_centres(df: DataFrame, label: str, features: str) -> DataFrame:
+    """(id, c): the mean vector of each labelled group."""
+    return df.groupBy(F.col(label).alias("id")).agg(
+        vector_to_array(Summarizer.mean(array_to_vector(features))).alias("c"))
 
 
-def assign_nearest(df: DataFrame, centres: dict, features: str) -> DataFrame:
+def assign_nearest(df: DataFrame, centres: DataFrame, features: str) -> DataFrame:
     """Add ``cluster`` (smallest id on ties) and ``distance`` (squared) per row.
 
-    The centres are literals in the expression, so nothing is joined.
+    The centres ``(id, c)`` reach the rows as one array value, through a scalar
+    subquery; nothing is joined or collected, and their number isn't limited.
     """
-    nearest = F.array_min(F.array(*[
-        F.struct(squared_distance(F.col(features), c).alias("d"), F.lit(k).alias("id"))
-        for k, c in centres.items()]))
-    out = df.withColumn("_n", nearest)
+    listed = centres.agg(F.array_sort(F.collect_list(F.struct("id", "c"))).alias("all"))
+    nearest = F.array_min(F.transform(F.col("_p.all"), lambda c: F.struct(
+        squared_distance(F.col(features), c["c"]).alias("d"), c["id"].alias("id"))))
+    out = attach_row(df, listed).withColumn("_n", nearest)
     return out.select(*df.columns, F.col("_n.id").alias("cluster"), F.col("_n.d").alias("distance"))
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lodestat.functions.parse import nan_to_null
 from lodestat.operators.clean import duplicate_count
+from lodestat.operators.distinct import distinct_counts
 from lodestat.operators.quantiles import column_quantiles, quantiles
 from lodestat.session import attach_row, settle
 
@@ -75,41 +77,30 @@ def ordered_counts(df: DataFrame, col: str, order: list[str]) -> DataFrame:
     return counts.select(place.alias("position"), col, "n").where("position > 0").orderBy("position")
 
 
-def distinct_counts(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
-    """Distinct non-null values per column."""
-    if not exact:
-        sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols])
-        return sketch.unpivot([], cols, "column", "n_distinct")
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), _short(F.col(c).cast("string")).alias("v")) for c in cols])).alias("p"))
-    seen = pairs.select("p.column", "p.v").where("v IS NOT NULL").distinct()
-    counts = seen.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    return names.join(counts, "column", "left").select(
-        "column", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
-
-
-def _short(text: Column) -> Column:
-    """A long text's digest in its place: equal for equal texts only, and never more than 64 signs to shuffle."""
-    return F.when(F.length(text) > 40, F.sha2(text, 256)).otherwise(text)
-
-
 def column_profile(df: DataFrame, described: dict[str, tuple[str, str]] | None = None) -> DataFrame:
-    """Data dictionary: type, source and description with measured statistics."""
+    """Data dictionary: type, nullability, source and description with measured statistics."""
     described = described or {}
     meta = df.sparkSession.createDataFrame(
-        [(i, f.name, f.dataType.simpleString(), *described.get(f.name, ("Unknown", "")))
+        [(i, f.name, f.dataType.simpleString(), f.nullable, *described.get(f.name, ("Unknown", "")))
          for i, f in enumerate(df.schema.fields)],
-        "position int, column string, dtype string, source string, description string")
+        "position int, column string, dtype string, nullable boolean, source string, description string")
     stats = null_profile(df).join(distinct_counts(df, df.columns), "column")
     return meta.join(F.broadcast(stats), "column").select(
-        "position", "column", "dtype", "source", "description", "nulls", "null_pct", "n_distinct"
+        "position", "column", "dtype", "nullable", "source", "description", "nulls", "null_pct", "n_distinct"
     ).orderBy("position")
 
 
+def table_shape(df: DataFrame) -> DataFrame:
+    """One row: rows, columns, and columns of each kind."""
+    kinds = [("numeric", T.NumericType), ("text", T.StringType), ("time", (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    count = {name: sum(isinstance(f.dataType, kind) for f in df.schema.fields) for name, kind in kinds}
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows", F.lit(len(df.columns)).alias("n_columns"), *[F.lit(n).alias(f"n_{name}") for name, n in count.items()])
+
+
 def summary_report(df: DataFrame, cols: list[str]) -> dict[str, DataFrame]:
     """The parts of a text summary as tables."""
-    return {"dtypes": column_profile(df), "numeric": describe(df, cols),
+    return {"shape": table_shape(df), "dtypes": column_profile(df), "numeric": describe(df, cols),
             "nulls": null_profile(df), "duplicates": duplicate_count(df)}
 
 
@@ -169,48 +160,62 @@ def iqr_report(df: DataFrame, col: str) -> DataFrame:
         F.try_divide((F.col("n_low") + F.col("n_high")) * 100.0, "n_rows").alias("outlier_pct"))
 
 
-def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson r for every ordered pair of columns, over the rows where both are present.
+def co_moments(df: DataFrame, cols: list[str]) -> dict[str, np.ndarray]:
+    """Matrices over every ordered pair of columns, from the rows where both are present.
 
-    Columns without gaps go through one matrix product; only pairs with a gap in
-    one of them need aggregates of their own. Without variance r is null.
+    ``n`` rows, ``sum`` and ``squares`` of the first column, and ``product`` of both, of
+    values less the column's mean, so that no digits cancel later. Tasks multiply whole
+    blocks by their masks of present values; four matrices per task are added up.
     """
+    num = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    means = np.array([m or 0.0 for m in num.agg(*[F.avg(c) for c in num.columns]).first()])
+    width, names = len(cols), ("n", "sum", "squares", "product")
+
+    def run(batches):
+        total = np.zeros((len(names), width, width))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float) - means
+            there = ~np.isnan(x)
+            x[~there] = 0.0
+            m = there.astype(float)
+            total += [m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(names) * width), pa.int32()), pa.array(list(total.reshape(-1, width)))], names=["row", "v"])
+
+    sums = num.mapInArrow(run, "row int, v array<double>").groupBy("row").agg(
+        vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).orderBy("row").collect()
+    table = np.array([r["v"] for r in sums]).reshape(len(names), width, width) if sums else np.zeros((len(names), width, width))
+    return dict(zip(names, table))
+
+
+def correlation_values(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Pearson r of every pair of columns over the rows where both are present; NaN without variance."""
+    m = co_moments(df, cols)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        mean, square = m["sum"] / m["n"], m["squares"] / m["n"]
+        variance = square - mean * mean
+        # What is left of a constant after subtracting means is rounding.
+        variance = np.where(variance > 1e-13 * square, variance, 0.0)
+        spread = np.sqrt(variance * variance.T)
+        r = np.where(spread > 0, (m["product"] / m["n"] - mean * mean.T) / spread, np.nan)
+    return np.clip(r, -1.0, 1.0)
+
+
+def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Pearson r for every ordered pair of columns, over the rows where both are present; null without variance."""
     cols = list(dict.fromkeys(cols))
-    num = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
-    gaps = num.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    full = [c for c in cols if gaps["_rows"] > 1 and not gaps[c]]
-    found = {}
-    if full:
-        vectors = num.select(array_to_vector(F.array(*full)).alias("v"))
-        r = Correlation.corr(vectors, "v").first()[0].toArray()
-        # The diagonal of a constant column is set to 1 by the library.
-        flat = [bool(np.isnan(np.delete(row, i)).all()) and len(full) > 1 for i, row in enumerate(r)]
-        for i, a in enumerate(full):
-            for j, b in enumerate(full):
-                bad = np.isnan(r[i, j]) or flat[i] or flat[j]
-                found[a, b] = None if bad else float(r[i, j])
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:] if (a, b) not in found]
-    if pairs:
-        values = num.agg(*[_pair_r(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).first()
-        for (a, b), value in zip(pairs, values):
-            found[a, b] = found[b, a] = value
+    r = correlation_values(df, cols)
     # A matrix of the columns, never of the rows.
     return df.sparkSession.createDataFrame(
-        [(a, b, found[a, b]) for a in cols for b in cols], "x string, y string, r double")
-
-
-def _pair_r(a: str, b: str) -> Column:
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+        [(a, b, None if np.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)],
+        "x string, y string, r double")
 
 
 def target_correlates(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
     """The columns ranked by absolute correlation with the target."""
     cols = [c for c in dict.fromkeys(cols) if c != target]
-    num = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in [target, *cols]])
-    return (num.agg(*[_pair_r(target, c).alias(c) for c in cols]).unpivot([], cols, "feature", "r")
-            .orderBy(F.desc_nulls_last(F.abs("r")), "feature"))
+    r = correlation_values(df, [target, *cols])[0, 1:]
+    found = [(c, None if np.isnan(v) else float(v)) for c, v in zip(cols, r)]
+    return df.sparkSession.createDataFrame(found, "feature string, r double").orderBy(F.desc_nulls_last(F.abs("r")), "feature")
 
 
 def head(df: DataFrame, key: str, n: int = 5) -> DataFrame:

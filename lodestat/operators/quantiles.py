@@ -1,26 +1,28 @@
 """Exact quantiles (linear interpolation) that never gather a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer.
-Here a mergeable sketch first brackets each wanted rank, and a second pass keeps
-single values only inside the brackets; everything between two brackets is
-counted as one gap. What reaches the per-group ordering is a small, fixed share
-of the group's distinct values, and the ranks are exact.
+Here values become 64-bit keys in the same order, and each wanted rank is narrowed
+digit by digit: rows are counted by the next digit of their key inside the brackets
+that hold a wanted rank, the counts say which digit holds it, and the bracket
+shrinks to that digit. Counts are partial aggregates; the table that a bracket's
+running sums are taken over has at most ``2 ** BITS`` rows, whatever the input. A
+bracket of few rows is counted by whole keys and ends the search at once, so small
+groups take two passes and no group takes more than ``64 / BITS``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from lodestat.functions.ordering import ordered_key
 from lodestat.functions.parse import nan_to_null
-from lodestat.operators.sizing import lookup_join
-from lodestat.session import attach_row
+from lodestat.operators.sizing import broadcast_checked
+from lodestat.session import settle
 
+#: Bits of a digit; a bracket of at most ``2 ** BITS`` rows is counted by whole keys.
+BITS = 16
+#: Accuracy of the sketch behind ``exact=False``.
 ACCURACY = 100_000
-# The sketch errs by at most 1/ACCURACY of the rows; the bracket is wider.
-_MARGIN = 4.0 / ACCURACY
-# Below this many rows the margin is less than a few ranks, so the bracket is the
-# whole group, which is then small.
-_WHOLE_GROUP = ACCURACY
 
 
 def qname(p: float) -> str:
@@ -35,36 +37,56 @@ def to_long(df: DataFrame, cols: list[str], keep: list[str] = (), name: str = "f
     return wide.unpivot(list(keep), list(cols), name, value)
 
 
-def _sketch(v: str, probs: list[float]) -> list[Column]:
-    edges = [max(0.0, p - _MARGIN) for p in probs] + [min(1.0, p + _MARGIN) for p in probs]
-    wanted = ", ".join(f"{e!r}D" for e in edges)
-    return [
-        F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.expr(f"approx_percentile(`{v}`, array({wanted}), {ACCURACY})").alias("edges"),
-    ]
+def _ranks(probs: list[float]) -> list[str]:
+    """For each probability, the ranks below and above it among ``n`` values, from 0."""
+    return [f"CAST({f}({p!r}D * (n - 1)) AS BIGINT)" for p in probs for f in ("floor", "ceil")]
 
 
-def _brackets(sketch: DataFrame, by: list[str], k: int) -> DataFrame:
-    """(group, n, lo, hi): between which values each of the k ranks lies."""
-    few = F.col("n") < _WHOLE_GROUP
-    return sketch.select(
-        *by, "n",
-        F.when(few, F.array_repeat("min", k)).otherwise(F.slice("edges", 1, k)).alias("lo"),
-        F.when(few, F.array_repeat("max", k)).otherwise(F.slice("edges", k + 1, k)).alias("hi"),
-    )
+def _refine(counted: DataFrame, probs: list[float]) -> DataFrame:
+    """Brackets that hold a wanted rank, from counts ``(g, b, base, n, d, c, low, high)`` by digit ``d`` in bracket ``b``.
 
+    ``base`` is the number of a group's values before the bracket and ``n`` that of all;
+    both are null in the first round, whose only bracket is the group itself.
+    """
+    # As text, since an expression built call by call takes longer than a small job.
+    ends = counted.selectExpr(
+        "g", "d", "c", "low", "high", "coalesce(n, sum(c) OVER (PARTITION BY g, b)) AS n",
+        "coalesce(base, 0) + sum(c) OVER (PARTITION BY g, b ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto")
+    holds = f"n = 0 OR exists(array({', '.join(_ranks(probs))}), r -> r >= upto - c AND r < upto)"
+    return ends.where(holds).selectExpr("g", "n", "d", "upto - c AS `from`", "upto", "low", "high")
+
+
+def _count(rows: DataFrame, digit: str) -> DataFrame:
+    return (rows.groupBy("g", "b", "base", "n", F.expr(digit).alias("d"))
+            .agg(F.expr("count(v) AS c"), F.expr("min(v) AS low"), F.expr("max(v) AS high")))
+
+
+def _kept(state: DataFrame, few_groups: bool) -> DataFrame:
+    """``state`` computed once: a few rows per group, as a local table if the schema bounds the groups."""
+    return state.sparkSession.createDataFrame(state.collect(), state.schema) if few_groups else settle(state)
 
-def _compress(lo: Column, hi: Column, k: int) -> Column:
-    """(value, gap) of a row: itself inside a bracket, else the edge below it."""
-    v, out = F.col("v"), None
-    below = F.lit(None).cast("double")
-    for i in range(k):
-        gap = F.struct(below.alias("v"), F.lit(1).alias("gap"))
-        own = F.struct(v.alias("v"), F.lit(0).alias("gap"))
-        out = F.when(v < lo[i], gap) if out is None else out.when(v < lo[i], gap)
-        out = out.when(v <= hi[i], own)
-        below = hi[i]
-    return out.otherwise(F.struct(below.alias("v"), F.lit(1).alias("gap")))
+
+def brackets(rows: DataFrame, probs: list[float], few_groups: bool) -> list[DataFrame]:
+    """``(g, n, from, upto, low)`` for every wanted rank of ``rows (g, v)``: the value at ranks ``from`` to ``upto - 1``.
+
+    One table for each round that settled any; a group without values has n = 0.
+    """
+    keyed = rows.selectExpr("g", "v", f"{ordered_key('v')} AS key")
+    first = keyed.selectExpr("g", "v", "0L AS b", "CAST(NULL AS BIGINT) AS base", "CAST(NULL AS BIGINT) AS n", "key")
+    found, shift = [], 64 - BITS
+    state = _kept(_refine(_count(first, f"shiftright(key, {shift})"), probs), few_groups)
+    known = keyed.where("v IS NOT NULL")
+    while True:
+        found.append(state.where("n = 0 OR low = high").drop("d", "high"))
+        open_ = state.where("NOT (n = 0 OR low = high)").selectExpr("g", "d AS b", "`from` AS base", "n", f"upto - `from` <= {1 << BITS} AS few")
+        if open_.isEmpty():
+            return found
+        open_ = F.broadcast(open_) if few_groups else broadcast_checked(open_, derived=False)
+        inside = known.selectExpr("*", f"shiftright(key, {shift}) AS b").join(open_, ["g", "b"])
+        shift = max(shift - BITS, 0)
+        # Brackets that end here and those that go on have digits of different lengths, but never share a bracket.
+        digit = f"IF(few, key, shiftright(key, {shift}))"
+        state = _kept(_refine(_count(inside, digit), probs), few_groups)
 
 
 def quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] = (),
@@ -88,71 +110,22 @@ def quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[s
             .select(*by, "n", *[F.col("q")[i].alias(qname(p)) for i, p in enumerate(probs)])
         )
 
-    return _pick(rows, _brackets(rows.groupBy(*by).agg(*_sketch("v", probs)), by, len(probs)),
-                 by, probs, few_groups)
-
-
-def _pick(rows: DataFrame, brackets: DataFrame, by: list[str], probs: list[float],
-          few_groups: bool) -> DataFrame:
-    """The exact quantiles of ``rows.v`` from the brackets of every group."""
-    if by:
-        # Null group keys are groups too, so the join has to match them.
-        keys = [F.struct(*by).alias("_k")]
-        known = rows.where("v IS NOT NULL").select(*keys, "v")
-        table = brackets.select(*keys, "n", "lo", "hi")
-        located = known.join(F.broadcast(table), "_k") if few_groups else lookup_join(
-            known, table, "_k", "inner")
-        group = ["_k"]
-    else:
-        located = attach_row(rows.where("v IS NOT NULL"), brackets).select("v", "_p.*")
-        group = []
-    lo, hi = F.col("lo"), F.col("hi")
-    counted = (
-        located.select(*group, "n", _compress(lo, hi, len(probs)).alias("r"))
-        .groupBy(*group, "n", "r").agg(F.count(F.lit(1)).alias("c"))
-    )
-    order = Window.partitionBy(*group).orderBy(F.col("r.v").asc_nulls_first(), F.col("r.gap"))
-    upto = F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.select(*group, "n", "r", upto.alias("upto"))
-
-    # A wanted rank can only land on a gap if the sketch broke its error bound.
-    found = F.when(F.col("r.gap") == 0, F.col("r.v")).otherwise(
-        F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-    picks = []
-    for i, p in enumerate(probs):
-        at = F.lit(p) * (F.col("n") - 1)
-        for side, rank in (("l", F.floor(at)), ("h", F.ceil(at))):
-            hit = (F.col("upto") > rank) & (F.col("upto") - F.col("c") <= rank)
-            picks.append(F.max(F.when(hit, found)).alias(f"{side}{i}"))
-    ranked = ranked.withColumn("c", F.col("upto") - F.coalesce(
-        F.lag("upto").over(order), F.lit(0)))
-    picked = ranked.groupBy(*group).agg(F.max("n").alias("n"), *picks)
-    out = []
-    for i, p in enumerate(probs):
-        at = F.lit(p) * (F.col("n") - 1)
-        low, high = F.col(f"l{i}"), F.col(f"h{i}")
-        out.append((low + (high - low) * (at - F.floor(at))).alias(qname(p)))
-    if not by:
-        return picked.select(F.coalesce("n", F.lit(0)).alias("n"), *out)
-    names = [F.col(f"_k.{c}").alias(c) for c in by]
-    empty = brackets.where("n = 0").select(
-        *by, "n", *[F.lit(None).cast("double").alias(qname(p)) for p in probs])
-    return picked.select(*names, "n", *out).unionByName(empty)
+    # Null group keys are groups too, so the joins have to match them: a struct of nulls equals itself.
+    grouped = rows.select((F.struct(*by) if by else F.lit(0)).alias("g"), "v")
+    found = brackets(grouped, probs, few_groups or not by)
+    table = found[0]
+    for more in found[1:]:
+        table = table.unionByName(more)
+    picks = [F.expr(f"max(IF({r} >= `from` AND {r} < upto, low, NULL)) AS r{i}") for i, r in enumerate(_ranks(probs))]
+    picked = table.groupBy(*["g"] if by else []).agg(F.expr("coalesce(max(n), 0) AS n"), *picks)
+    out = [f"r{2 * i} + (r{2 * i + 1} - r{2 * i}) * ({p!r}D * (n - 1) - floor({p!r}D * (n - 1))) AS `{qname(p)}`" for i, p in enumerate(probs)]
+    return picked.selectExpr(*[f"g.`{c}` AS `{c}`" for c in by], "n", *out)
 
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                      exact: bool = True) -> DataFrame:
     """``quantiles`` of several columns in one plan, one row per column."""
-    long = to_long(df, cols)
-    if not exact:
-        return quantiles(long, "value", probs, ["feature"], exact=False)
-    probs = sorted(set(probs))
-    # The sketches are taken column by column; only the second pass needs long rows.
-    num = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
-    wide = num.agg(*[F.struct(F.lit(c).alias("feature"), *_sketch(c, probs)).alias(c) for c in cols])
-    sketch = wide.select(F.explode(F.array(*cols)).alias("s")).select("s.*")
-    return _pick(long.withColumnRenamed("value", "v"), _brackets(sketch, ["feature"], len(probs)),
-                 ["feature"], probs, few_groups=True)
+    return quantiles(to_long(df, cols), "value", probs, ["feature"], exact, few_groups=True)
 
 
 def median_row(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lodestat.functions import features as fx, parse
 from lodestat.functions.hashing import fold_of, pick
 from lodestat.operators import (
-    charts, clean, cluster, columns, encode, enrich, metrics, mlp, nearby, profile, search)
+    charts, clean, cluster, columns, distinct, encode, enrich, metrics, mlp, nearby, profile, search)
 from lodestat.plans import eda, listings as pl, pricing, segmentation
 from lodestat.session import settle, settle_table
 from lodestat.sources.fixtures import table, view
@@ -215,6 +216,23 @@ def duplicate_rows(spark, sf):
     return clean.duplicate_count(table(spark, sf, "documents").select("text", "lang"))
 
 
+@query
+def dedup_events(spark, sf):
+    """Different rows by type: of user, type and hour, and of all columns, times with their microseconds."""
+    events = table(spark, sf, "events")
+    few = clean.dedup_rows(events.select("user_id", "event_type", F.date_trunc("hour", "ts").alias("ts")))
+    every = clean.dedup_rows(events.drop("event_id"))
+    count = lambda df, name: df.groupBy("event_type").agg(F.count(F.lit(1)).alias(name))
+    return count(few, "by_hour").join(count(every, "by_all"), "event_type")
+
+
+@query
+def host_tenure(spark, sf):
+    """Years since a text date, some of them unreadable."""
+    hosts = view(spark, sf, "hosts")
+    return hosts.select("id", F.round(fx.tenure_years(parse.date_or_null("host_since"), dt.date(2025, 1, 1)), 6).alias("tenure"))
+
+
 # --- statistics -----------------------------------------------------------------------------
 
 @query
@@ -302,6 +320,11 @@ def drop_constant(spark, sf):
     return columns.drop_constant(df)
 
 
+@query
+def table_shape(spark, sf):
+    return profile.table_shape(table(spark, sf, "orders"))
+
+
 @query
 def column_profile(spark, sf):
     return profile.column_profile(table(spark, sf, "orders").select(
@@ -318,6 +341,12 @@ def row_mean(spark, sf):
 
 # --- plot tables ----------------------------------------------------------------------------
 
+@query
+def column_densities(spark, sf):
+    out = charts.densities(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
+    return out.select("feature", "point", F.round("x", 6).alias("x"), F.round("density", 8).alias("density"))
+
+
 @query
 def histogram(spark, sf):
     return rounded(charts.histogram(table(spark, sf, "lineitem"), "l_extendedprice"), 4, "bin_lo")
@@ -420,7 +449,7 @@ def one_hot(spark, sf):
 def cardinality_route(spark, sf):
     train, _ = _sides(spark, sf)
     cols = ["room_type", "property_type", "area", "property_room_combo", "host_is_superhost"]
-    counts = profile.distinct_counts(train, cols)
+    counts = distinct.distinct_counts(train, cols)
     return counts.withColumn(
         "encoding", F.when(F.col("n_distinct") > encode.MAX_LEVELS, "frequency").otherwise("one_hot"))
 
@@ -642,19 +671,18 @@ def mlp_train_eval(spark, sf):
     """Cross-validated random search on the embeddings, refit and held-out scores."""
     df = _embeddings(spark, sf).select("vec_id", F.col("x").alias("features"), F.col("label").cast("double").alias("y"))
     train, test = encode.split(df, "vec_id")
-    run = pricing.search_and_refit(train, test, pricing.random_trials(spark, 3), "vec_id", max_epochs=12)
+    run = pricing.search_and_refit(train, test, pricing.random_trials(spark, 10), "vec_id")
     return run.metrics
 
 
 @query
 def price_model_run(spark, sf):
-    """Random search, grid search and halving on the enriched listings, as a leaderboard."""
+    """Random search and halving at their defaults and a small grid on the enriched listings, as a leaderboard."""
     parts = [view(spark, sf, n) for n in
              ("listings", "calendar", "crime", "stations", "tourist_spots", "income_house")]
     enriched = settle_table(pl.cleanse_for_model(pl.enrich_listings(*parts)))
     small = {**search.SPACE, "hidden": ["32"], "activation": ["relu"], "alpha": [0.0001]}
-    return pricing.price_model_run(enriched, trials=3, grid=small, grid_folds=3, max_epochs=8,
-                                   halving_trials=4, halving_folds=3, halving_epochs=8, rungs=[2, 4])
+    return pricing.price_model_run(enriched, grid=small)
 
 
 @query

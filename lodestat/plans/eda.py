@@ -44,6 +44,8 @@ def eda_pack(df: DataFrame, target: str = "price", first_histograms: int | None
         "price_histogram": charts.histogram(df, target),
         "price_histogram_log": charts.histogram(df, F.log1p(target)),
         "price_density": charts.kde(df, target),
+        "densities": charts.densities(df, every[:first_histograms]),
+        "price_box": charts.box_stats(df, target),
         "price_iqr": profile.iqr_report(df, target),
         "price_violin": charts.violin(df, target),
         "histograms": charts.histogram_auto(df, every, first_histograms),

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import pickle
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -29,8 +32,8 @@ def local_session(cpus: int | str = "*", app: str = "lodestat") -> SparkSession:
 def use_checkpoint_dir(spark: SparkSession) -> None:
     """Point checkpoints at the shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its executor.
+    Only a session whose tasks all run in this process gets a folder of its own without
+    the setting; elsewhere a machine-local folder would be lost with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -38,7 +41,7 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         return
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodestat-"))
     else:
         raise ValueError("set spark.checkpoint.dir to a shared folder")
@@ -59,10 +62,44 @@ def settle_table(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     use_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    if _OPEN_SCOPES:
+        _OPEN_SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of the scopes that are open, the innermost last.
+_OPEN_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``settle_table`` writes inside are removed at the end, so what is wanted of them must be stored by then.
+
+    For runs on one thread: a scope owns what is written while it is the innermost one.
+    """
+    made: list[str] = []
+    _OPEN_SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _OPEN_SCOPES.remove(made)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
+def settle_outside(df: DataFrame) -> DataFrame:
+    """``settle_table`` for a result that outlives the innermost scope."""
+    out = settle_table(df)
+    if _OPEN_SCOPES:
+        path = _OPEN_SCOPES[-1].pop()
+        if len(_OPEN_SCOPES) > 1:
+            _OPEN_SCOPES[-2].append(path)
+    return out
+
+
 def attach_row(df: DataFrame, row: DataFrame, name: str = "_p") -> DataFrame:
     """Add a one-row table as a struct column, through a scalar subquery.
 

@@ -37,6 +37,13 @@ SELECT p_partkey AS id,
   CASE WHEN p_partkey % 41 = 0 THEN NULL ELSE concat(CAST((p_partkey * 19) % 101 AS STRING), '%') END AS host_acceptance_rate
 FROM part
 """)
+VIEWS["hosts"] = ("customer", """
+SELECT c_custkey AS id,
+  CASE WHEN c_custkey % 47 = 0 THEN NULL WHEN c_custkey % 43 = 0 THEN 'unknown' WHEN c_custkey % 31 = 0 THEN '2021-02-30'
+       WHEN c_custkey % 29 = 0 THEN '' ELSE concat(CAST(2008 + c_custkey % 16 AS STRING), '-', lpad(CAST(c_custkey % 12 + 1 AS STRING), 2, '0'), '-',
+       lpad(CAST(c_custkey % 28 + 1 AS STRING), 2, '0')) END AS host_since
+FROM customer
+""")
 VIEWS["calendar"] = ("lineitem", """
 SELECT l_partkey AS listing_id, CAST(l_shipdate AS DATE) AS date,
   CASE WHEN l_linestatus = 'F' THEN 'f' ELSE 't' END AS available,

@@ -190,6 +190,11 @@ ORACLES["text_flags"] = f"""SELECT doc_id, CAST(length(text) AS INTEGER) AS text
   {_has('text', 'balcony')} AS has_balcony, {_has('text', 'view')} AS has_view,
   {_has('text', 'garden')} AS has_garden, {_has('text', 'hot tub|jacuzzi')} AS has_hot_tub FROM documents"""
 ORACLES["dedup"] = "SELECT DISTINCT text, lang FROM documents"
+ORACLES["dedup_events"] = """SELECT event_type, by_hour, by_all FROM
+(SELECT event_type, count(*) AS by_hour FROM (SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS ts FROM events) GROUP BY 1)
+JOIN (SELECT event_type, count(*) AS by_all FROM (SELECT DISTINCT ts, user_id, event_type, value, props FROM events) GROUP BY 1) USING (event_type)"""
+ORACLES["host_tenure"] = f"""{with_views("hosts")} SELECT id,
+  round(date_diff('day', try_cast(host_since AS DATE), DATE '2025-01-01') / 365, 6) AS tenure FROM hosts"""
 ORACLES["duplicate_rows"] = """SELECT a AS n_rows, b AS distinct_rows, a - b AS duplicate_rows
 FROM (SELECT count(*) AS a FROM documents), (SELECT count(*) AS b FROM (SELECT DISTINCT text, lang FROM documents))"""
 
@@ -249,10 +254,11 @@ ORACLES["drop_constant"] = "SELECT l_orderkey, l_linenumber, l_tax FROM lineitem
 ORDER_COLUMNS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
                  ("o_totalprice", "double"), ("o_orderpriority", "string")]
 ORACLES["column_profile"] = " UNION ALL ".join(
-    f"""SELECT {i} AS position, '{c}' AS "column", '{t}' AS dtype,
+    f"""SELECT {i} AS position, '{c}' AS "column", '{t}' AS dtype, true AS nullable,
  '{'Orders' if i == 0 else 'Unknown'}' AS source, '{'Unique order number' if i == 0 else ''}' AS description,
  count(*) - count({c}) AS nulls, round((count(*) - count({c})) * 100.0 / count(*), 2) AS null_pct,
  count(DISTINCT {c}) AS n_distinct FROM orders""" for i, (c, t) in enumerate(ORDER_COLUMNS))
+ORACLES["table_shape"] = """SELECT count(*) AS n_rows, 6 AS n_columns, 3 AS n_numeric, 2 AS n_text, 1 AS n_time FROM orders"""
 ORACLES["row_mean"] = """SELECT l_orderkey, l_linenumber,
   round((l_quantity + l_discount + l_tax) / 3, 6) AS row_mean FROM lineitem"""
 
@@ -287,6 +293,9 @@ k AS (SELECT CAST(g.i AS INTEGER) AS point, lo + g.i * step AS x,
 
 ORACLES["kde_grid"] = f"""WITH {_kde('value', 'events')}
 SELECT point, round(x, 8) AS x, round(density, 8) AS density FROM k"""
+ORACLES["column_densities"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, point, round(x, 6) AS x, round(density, 8) AS density FROM (WITH {_kde(c, 'lineitem')} SELECT * FROM k)"""
+    for c in ("l_quantity", "l_extendedprice"))
 ORACLES["violin"] = f"""WITH {_kde('l_quantity', 'lineitem')}
 SELECT point, round(x, 8) AS x, round(density, 8) AS density,
   (SELECT quantile_cont(l_quantity, 0.25) FROM lineitem) AS q1,

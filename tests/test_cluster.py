@@ -46,10 +46,56 @@ def test_kmeans_does_not_depend_on_the_partitioning(spark, blobs):
 
 def test_assignment_breaks_ties_by_id(spark):
     df = spark.createDataFrame([([0.0],), ([5.0],)], "x array<double>")
-    out = cluster.assign_nearest(df, {0: [-1.0], 1: [1.0], 2: [5.0]}, "x").collect()
+    out = cluster.assign_nearest(df, cluster.centre_table(spark, [[-1.0], [1.0], [5.0]]), "x").collect()
     assert [(r["cluster"], r["distance"]) for r in out] == [(0, 1.0), (2, 0.0)]
 
 
+def test_assignment_to_many_centres(spark):
+    centres = np.arange(3000.0)[:, None] * 2
+    df = spark.createDataFrame([(i, [i + 0.25]) for i in range(0, 5990, 37)], "id int, x array<double>")
+    for r in cluster.assign_nearest(df, cluster.centre_table(spark, centres), "x").collect():
+        assert r["cluster"] == np.abs(centres[:, 0] - r["x"][0]).argmin()
+
+
+def test_seeding_takes_as_many_passes_for_any_number_of_centres(spark, blobs, monkeypatch):
+    passes = []
+    real = cluster._assign_all
+    monkeypatch.setattr(cluster, "_assign_all", lambda *a: passes.append(1) or real(*a))
+    data = blobs.select(F.xxhash64("id").alias("h"), "x")
+    found = cluster._seed_centres(data, {0: (3, 1), 1: (30, 1), 2: (300, 2)})
+    assert len(passes) == 1 and {i: len(c) for i, c in found.items()} == {0: 3, 1: 30, 2: 300}
+    x = np.array([r["x"] for r in blobs.collect()])
+    cost = lambda c: cluster._distances(x, c).min(axis=1).sum()
+    best = cost(np.array([x[i::3].mean(axis=0) for i in range(3)]))
+    assert cost(found[0]) < 1.5 * best and cost(found[1]) < best
+
+
+def test_seeding_of_fewer_rows_than_centres(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "id int, x array<double>")
+    fit = cluster.kmeans(df, "id", "x", 3, restarts=2)
+    assert fit.cost == 0 and len(fit.centres) == 3
+
+
+def test_silhouettes_of_several_fits_equal_the_library_one(spark, blobs):
+    fits = cluster.kmeans_fits(blobs, "id", "x", [2, 3, 4], restarts=2)
+    found = cluster.silhouettes_squared(blobs, "x", {k: f.centres for k, f in fits.items()})
+    for k, f in fits.items():
+        want = cluster.silhouette_squared(f.predict(blobs)).first()[0]
+        assert found[k] == pytest.approx(want, abs=1e-9)
+
+
+def test_randomised_components_equal_the_exact_ones(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 40)) * (0.8 ** np.arange(40)) @ np.linalg.qr(rng.normal(size=(40, 40)))[0] + 5
+    df = spark.createDataFrame([([float(v) for v in r],) for r in x], "x array<double>").repartition(4)
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    table, loadings = cluster.pca_randomized(df, 5, passes=4)
+    ratios = [r["ratio"] for r in table.orderBy("component").collect()]
+    want = values[::-1][:5] / values.sum()
+    assert np.allclose(ratios, want, rtol=1e-3) and all(r <= w * (1 + 1e-9) for r, w in zip(ratios, want))
+    assert all(abs(loadings[:, i] @ vectors[:, -1 - i]) > 0.99 for i in range(3))
+
+
 @pytest.mark.parametrize("block", [10, 50, 1000])
 def test_exact_silhouette_equals_brute_force(spark, block):
     rng = np.random.default_rng(1)

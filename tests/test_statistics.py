@@ -1,5 +1,8 @@
+import datetime as dt
+import decimal
 import math
 import random
+import struct
 
 import numpy as np
 import pandas as pd
@@ -7,7 +10,9 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from lodestat.operators import charts, clean, columns, profile, quantiles as q
+from lodestat.functions.ordering import ordered_key
+from lodestat.functions.rowkey import can_encode, encoded
+from lodestat.operators import charts, clean, columns, distinct, profile, quantiles as q
 
 
 def frame(spark, values, name="x"):
@@ -27,15 +32,14 @@ def test_quantiles_by_group_keep_null_keys(spark):
     assert got == {None: (2, 2.0), "a": (1, 5.0), "b": (0, None)}
 
 
-@pytest.mark.parametrize("shape", ["skewed", "one_value_holds_a_third", "uniform"])
+@pytest.mark.parametrize("shape", ["skewed", "one_value_holds_a_third", "uniform", "wide"])
 def test_quantiles_are_exact_beyond_the_small_group_size(spark, monkeypatch, shape):
-    # A coarse sketch makes 20,000 rows a large group.
-    monkeypatch.setattr(q, "ACCURACY", 1000)
-    monkeypatch.setattr(q, "_MARGIN", 4 / 1000)
-    monkeypatch.setattr(q, "_WHOLE_GROUP", 1000)
+    # Short digits make 20,000 rows a large group, with a round for every few bits.
+    monkeypatch.setattr(q, "BITS", 8)
     base = spark.range(0, 20_000, 1, 7).select(F.rand(3).alias("u"), "id")
     value = {"skewed": F.exp(F.col("u") * 12), "uniform": F.col("u"),
-             "one_value_holds_a_third": F.when(F.col("id") % 3 == 0, 0.4).otherwise(F.col("u"))}[shape]
+             "one_value_holds_a_third": F.when(F.col("id") % 3 == 0, 0.4).otherwise(F.col("u")),
+             "wide": F.when(F.col("id") % 2 == 0, -1.0).otherwise(1.0) * F.pow(F.lit(10.0), F.col("u") * 600 - 300)}[shape]
     df = base.select(value.alias("x"))
     probs = [0.0, 0.05, 0.25, 0.333, 0.5, 0.95, 1.0]
     data = np.array([r[0] for r in df.collect()])
@@ -48,6 +52,33 @@ def test_quantiles_are_exact_beyond_the_small_group_size(spark, monkeypatch, sha
     assert all(have[r["k"]] == pytest.approx(r["m"], rel=1e-12) for r in want)
 
 
+def test_quantile_rounds_count_few_digits(spark, monkeypatch):
+    """No bracket's counts have more rows than a digit has values, and every rank is found without an error."""
+    monkeypatch.setattr(q, "BITS", 4)
+    seen = []
+    count = q._count
+    monkeypatch.setattr(q, "_count", lambda rows, digit: seen.append(count(rows, digit)) or seen[-1])
+    df = spark.range(0, 5000, 1, 4).select(F.when(F.col("id") % 2 == 0, F.lit(3.0)).otherwise(F.exp(F.rand(5) * 50)).alias("x"))
+    got = q.quantiles(df, "x", [0.1, 0.75]).first()
+    data = np.array([r[0] for r in df.collect()])
+    assert [got["p10"], got["p75"]] == pytest.approx(list(np.quantile(data, [0.1, 0.75])), rel=1e-12)
+    assert 2 < len(seen) <= 16
+    for counted in seen:
+        assert max(r["count"] for r in counted.groupBy("g", "b").count().collect()) <= 16
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.floats(allow_nan=False), min_size=1, max_size=60))
+def test_ordered_keys_sort_as_numbers(spark, values):
+    rows = [0.0, -0.0, 5e-324, -5e-324, 2.0 ** -1022, math.inf, -math.inf, 1.7976931348623157e308, *[2.0 ** e for e in range(-1070, 1020, 97)], *values]
+    got = {r[0]: r[1] for r in frame(spark, rows).select("x", F.expr(ordered_key("x"))).collect()}
+    keys = [got[v] for v in sorted(set(rows))]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys)
+    for v, k in got.items():
+        bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        assert k == (bits if v >= 0 else -bits)
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=30))
 def test_quantiles_match_numpy(spark, values):
@@ -70,6 +101,83 @@ def test_dedup_treats_nulls_as_equal(spark):
     assert clean.duplicate_count(df).first().asDict() == {"n_rows": 4, "distinct_rows": 3, "duplicate_rows": 1}
 
 
+EVERY_TYPE = """b boolean, t tinyint, i int, l bigint, f float, d double, m decimal(20,6), s string, y binary, a date, z timestamp, n timestamp_ntz,
+                u void, ad array<double>, st struct<x: string, y: array<struct<p: float, q: string>>>, mp map<string, array<int>>"""
+
+
+def _every_type(rng):
+    when = dt.datetime(2024, 1, 1, 0, 0, 0, rng.choice([1, 2]))
+    number = rng.choice([0.0, -0.0, float("nan"), 1.5, None, float("inf")])
+    text = rng.choice(["", "n", "1:a", "a", None, "é"])
+    return (rng.choice([True, None]), 1, rng.choice([0, None]), 2 ** 40, number, number, rng.choice([decimal.Decimal("1.000001"), decimal.Decimal("1")]),
+            text, rng.choice([b"", b"a", None]), rng.choice([dt.date(1, 1, 1), dt.date(9999, 12, 31)]), when, when, None,
+            rng.choice([[0.0], [-0.0], [], None, [None], [float("nan")], [0.0, 1.0]]),
+            rng.choice([None, (None, None), (text, [(number, "a"), (None, text)]), ("", [])]),
+            rng.choice([None, {}, {"a": [1], "b": None}, {"b": None, "a": [1]}, {"ab": []}]))
+
+
+def test_dedup_equals_distinct_on_every_type(spark):
+    rng = random.Random(11)
+    pool = [_every_type(rng) for _ in range(40)]
+    df = spark.createDataFrame([rng.choice(pool) for _ in range(150)], EVERY_TYPE).repartition(3)
+    for cols in ([c] for c in df.columns):
+        part = df.select(*cols)
+        assert clean.dedup_rows(part).count() == part.groupBy(*cols).count().count(), cols
+    want = df.groupBy(*df.columns).count().count()
+    assert clean.dedup_rows(df).count() == want and want < 150
+    assert clean.duplicate_count(df).first().asDict() == {"n_rows": 150, "distinct_rows": want, "duplicate_rows": 150 - want}
+
+
+def test_dedup_keeps_rows_that_differ_in_microseconds(spark):
+    times = [dt.datetime(2024, 1, 1, 0, 0, 0, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 2)]
+    df = spark.createDataFrame([(t,) for t in times + times[:1]], "ts timestamp")
+    assert clean.dedup_rows(df).count() == 2 and clean.duplicate_count(df).first()["duplicate_rows"] == 1
+
+
+def test_dedup_of_types_without_an_encoding(spark):
+    df = spark.sql("SELECT INTERVAL '1' DAY * (id % 2) AS v, 'x' AS `a b` FROM range(6)")
+    assert not can_encode(df.schema) and clean.dedup_rows(df).count() == 2
+    assert clean.duplicate_count(df).first()["distinct_rows"] == 2
+    lower = spark.sql("SELECT CAST(v AS STRING) COLLATE UTF8_LCASE AS v FROM VALUES ('a'), ('A') AS t(v)")
+    assert clean.dedup_rows(lower).count() == 1
+
+
+def test_encodings_of_neighbouring_columns_do_not_run_together(spark):
+    df = spark.createDataFrame([("a", "1:b"), ("a1:b", ""), ("", "a1:b"), (None, "n"), ("n", None)], "x string, `y.z` string")
+    assert clean.dedup_rows(df).count() == 5
+
+
+def test_distinct_counts_of_every_type(spark, monkeypatch):
+    rng = random.Random(12)
+    df = spark.createDataFrame([_every_type(rng) for _ in range(300)], EVERY_TYPE).drop("u").withColumn("long", F.concat(F.lit("x" * 60), F.monotonically_increasing_id()))
+    want = {c: df.where(F.col(c).isNotNull()).groupBy(c).count().count() for c in df.columns}
+    for gathered in (5000, 3):
+        monkeypatch.setattr(distinct, "GATHERED", gathered)
+        got = distinct.distinct_counts(df, df.columns)
+        assert {r["column"]: r["n_distinct"] for r in got.collect()} == want
+    about = distinct.distinct_counts(df, ["long", "s"], exact=False).collect()
+    assert abs(about[0]["n_distinct"] - 300) < 40
+    assert distinct.distinct_counts(df.limit(0), ["s", "long"]).agg(F.sum("n_distinct")).first()[0] == 0
+
+
+def test_few_values_are_sorted_and_bounded(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("a"), "id", F.lit(None).cast("string").alias("none"))
+    assert distinct.few_values(df, ["a", "id", "none"], 5) == {"a": [0, 1, 2], "id": None, "none": []}
+
+
+def test_correlation_with_gaps_and_constants(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(1e6, 1, (400, 4))
+    x[:, 3] = 0.1
+    x[rng.random((400, 4)) < 0.2] = np.nan
+    df = spark.createDataFrame([[float(v) for v in r] for r in x], "a double, b double, c double, d double").repartition(3)
+    got = {(r["x"], r["y"]): r["r"] for r in profile.correlation(df, ["a", "b", "c", "d"]).collect()}
+    want = pd.DataFrame(x, columns=list("abcd")).corr()
+    for (i, j), r in got.items():
+        assert r is None if "d" in (i, j) else r == pytest.approx(want.loc[i, j], abs=1e-9)
+    assert all(r["r"] is None for r in profile.correlation(df.limit(0), ["a", "b"]).collect())
+
+
 def test_funnel_and_observed_funnel_agree(spark):
     df = frame(spark, [None, 5.0, 30.0, 600.0])
     known, fits = F.col("x").isNotNull(), F.col("x").between(20, 500)
@@ -134,7 +242,7 @@ def test_histogram_keeps_the_maximum_and_constant_columns(spark):
     assert charts.histogram(frame(spark, []), "x").count() == 0
 
 
-def test_kde_equals_the_plain_sum_and_prebin_is_close(spark):
+def test_kde_equals_the_plain_sum(spark):
     random.seed(5)
     values = [random.gauss(0, 1) for _ in range(300)] + [0.5] * 100
     df = frame(spark, values)
@@ -143,9 +251,20 @@ def test_kde_equals_the_plain_sum_and_prebin_is_close(spark):
     grid = np.linspace(x.min(), x.max(), 50)
     want = np.exp(-0.5 * ((grid[:, None] - x) / bw) ** 2).sum(axis=1) / (len(x) * bw * math.sqrt(2 * math.pi))
     got = [r["density"] for r in charts.kde(df, "x", 50).orderBy("point").collect()]
-    assert np.allclose(got, want, rtol=1e-9)
-    near = [r["density"] for r in charts.kde(df, "x", 50, prebin=2000).orderBy("point").collect()]
-    assert np.allclose(near, want, atol=2e-3)
+    assert np.allclose(got, want, rtol=1e-9, atol=1e-11)
+
+
+def test_kde_of_far_clusters_and_of_no_spread(spark):
+    random.seed(6)
+    values = [random.gauss(0, 1e-3) for _ in range(500)] + [1000 + random.gauss(0, 1) for _ in range(2000)] + [-1e5]
+    x = np.array(values)
+    bw = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min(), x.max(), 200)
+    want = np.exp(-0.5 * ((grid[:, None] - x) / bw) ** 2).sum(axis=1) / (len(x) * bw * math.sqrt(2 * math.pi))
+    got = [r["density"] for r in charts.kde(frame(spark, values), "x").orderBy("point").collect()]
+    assert np.allclose(got, want, rtol=1e-8, atol=1e-12 * want.max())
+    assert charts.kde(frame(spark, [2.0, 2.0]), "x").count() == 0
+    assert {r["feature"] for r in charts.densities(frame(spark, values), ["x"]).collect()} == {"x"}
 
 
 def test_box_stats_whiskers(spark):
