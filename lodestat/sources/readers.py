@@ -6,9 +6,10 @@ an inference pass over the data (``infer=True`` asks for one).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodestat.functions.parse import date_or_null, to_number
+from lodestat.sources.quoted import read_quoted_csv
 
 # Types of the raw columns the pipeline reads; other columns stay text.
 LISTING_TYPES = {
@@ -35,7 +36,9 @@ def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = False, recursive: bool = False,
              infer: bool = False, escape: str = '"') -> DataFrame:
-    """Header CSV. A multi-line file is read by one task: convert large ones to parquet once."""
+    """Header CSV. ``multiline`` allows line breaks inside quotes, and files are still read in parallel."""
+    if multiline and not infer:
+        return read_quoted_csv(spark, path, escape, recursive).drop("_record")
     return spark.read.csv(path, header=True, inferSchema=infer, multiLine=multiline, escape=escape,
                           recursiveFileLookup=recursive)
 
@@ -72,17 +75,11 @@ def read_tolerant_csv(spark: SparkSession, path: str, strict: bool = False) -> D
 
     Short lines are kept and padded with nulls. ``strict=True`` drops short lines too.
     """
-    options = dict(header=True, multiLine=True, quote='"', escape="\\")
-    header = spark.read.csv(path, **options)
-    names = header.columns
-    if strict:
-        return spark.read.csv(path, schema=header.schema, mode="DROPMALFORMED", **options)
-    schema = T.StructType([*header.schema.fields, T.StructField("_line", T.StringType())])
-    df = spark.read.csv(path, schema=schema, columnNameOfCorruptRecord="_line", **options)
-    # Only lines of another length carry their text; count the commas outside quotes.
-    bare = F.regexp_replace("_line", r'"(?:\\.|[^"\\])*"', "")
+    df = read_quoted_csv(spark, path, escape="\\")
+    names = [c for c in df.columns if c != "_record"]
+    bare = F.regexp_replace("_record", r'"(?:\\.|[^"\\])*"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-    return df.where(F.col("_line").isNull() | (fields <= len(names))).select(*names)
+    return df.where(fields == len(names) if strict else fields <= len(names)).select(*names)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
