@@ -120,21 +120,24 @@ def tail_cuts(total: int, window: int) -> list[int]:
 def _tokenized(file: str, end_id: int, window: int):
     last = np.array([end_id], "<u4").tobytes()
 
+    def encoded(words, batch):
+        tokens, crcs, tail = [], [], []
+        for _, bodies in slabs(batch.column("body")):
+            for ids in words.encode(bodies):
+                ids += last
+                n = len(ids) // 4
+                full = n // window * window
+                tokens.append(n)
+                crcs.append([zlib.crc32(ids[4 * at:4 * (at + window)]) for at in range(0, full, window)])
+                tail.append(zlib.crc32(ids[4 * full:]))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("k_id"), batch.column("k_sha"), pa.array(tokens, pa.int64()), pa.array(crcs, pa.list_(pa.int64())),
+             pa.array(tail, pa.int64())], names=["k_id", "k_sha", "tokens", "crcs", "tail_crc"])
+
     def run(batches):
-        words = encoder(file)
-        for batch in batches:
-            tokens, crcs, tail = [], [], []
-            for _, bodies in slabs(batch.column("body")):
-                for ids in words.encode(bodies):
-                    ids += last
-                    n = len(ids) // 4
-                    full = n // window * window
-                    tokens.append(n)
-                    crcs.append([zlib.crc32(ids[4 * at:4 * (at + window)]) for at in range(0, full, window)])
-                    tail.append(zlib.crc32(ids[4 * full:]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("k_id"), batch.column("k_sha"), pa.array(tokens, pa.int64()), pa.array(crcs, pa.list_(pa.int64())),
-                 pa.array(tail, pa.int64())], names=["k_id", "k_sha", "tokens", "crcs", "tail_crc"])
+        with encoder(file) as words:
+            for batch in batches:
+                yield encoded(words, batch)
     return run
 
 
@@ -142,22 +145,25 @@ def _cut_sums(file: str, end_id: int):
     """Checksums of stated stretches of each text's ids."""
     last = np.array([end_id], "<u4").tobytes()
 
+    def summed(words, batch):
+        rows = {"k_id": [], "k_sha": [], "start": [], "length": [], "cut_crc": []}
+        for first, bodies in slabs(batch.column("body")):
+            for i, ids in enumerate(words.encode(bodies), first):
+                ids += last
+                for cut in batch.column("cuts")[i].as_py():
+                    rows["k_id"].append(batch.column("k_id")[i].as_py())
+                    rows["k_sha"].append(batch.column("k_sha")[i].as_py())
+                    rows["start"].append(cut["start"])
+                    rows["length"].append(cut["length"])
+                    rows["cut_crc"].append(zlib.crc32(ids[4 * cut["start"]:4 * (cut["start"] + cut["length"])]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows["k_id"], batch.schema.field("k_id").type), pa.array(rows["k_sha"], pa.string()),
+             *(pa.array(rows[c], pa.int64()) for c in ("start", "length", "cut_crc"))], names=list(rows))
+
     def run(batches):
-        words = encoder(file)
-        for batch in batches:
-            rows = {"k_id": [], "k_sha": [], "start": [], "length": [], "cut_crc": []}
-            for first, bodies in slabs(batch.column("body")):
-                for i, ids in enumerate(words.encode(bodies), first):
-                    ids += last
-                    for cut in batch.column("cuts")[i].as_py():
-                        rows["k_id"].append(batch.column("k_id")[i].as_py())
-                        rows["k_sha"].append(batch.column("k_sha")[i].as_py())
-                        rows["start"].append(cut["start"])
-                        rows["length"].append(cut["length"])
-                        rows["cut_crc"].append(zlib.crc32(ids[4 * cut["start"]:4 * (cut["start"] + cut["length"])]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["k_id"], batch.schema.field("k_id").type), pa.array(rows["k_sha"], pa.string()),
-                 *(pa.array(rows[c], pa.int64()) for c in ("start", "length", "cut_crc"))], names=list(rows))
+        with encoder(file) as words:
+            for batch in batches:
+                yield summed(words, batch)
     return run
 
 

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
-REMEMBERED = 1_000_000
+#: Bytes of words and ids that one task remembers, with what Python adds to each.
+REMEMBERED_BYTES = 48 << 20
+_ENTRY_BYTES = 180
 _LONGEST_KEPT = 64
 _JOINED = 2_000
 
@@ -33,6 +37,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(file)
         self.between, self.mark = between, self.tokenizer.token_to_id(between)
         self.known: dict[bytes, bytes] = {}
+        self.held = 0
         self.model, self.signs = self.tokenizer.model, _byte_signs()
 
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
@@ -67,10 +72,19 @@ class WordIds:
         for w, stem in stems.items():
             sign = w[-1:]
             found[w] = (self.known.get(stem) or found[stem]) + (self.known.get(sign) or found[sign])
-        if len(self.known) < REMEMBERED:
-            self.known.update((w, i) for w, i in found.items() if len(w) <= _LONGEST_KEPT)
+        for w, i in found.items():
+            if self.held >= REMEMBERED_BYTES:
+                break
+            if len(w) <= _LONGEST_KEPT:
+                self.known[w] = i
+                self.held += _ENTRY_BYTES + len(w) + len(i)
         return found
 
+    def forget(self) -> None:
+        """Give back the words' memory, which a worker process would else keep through later stages."""
+        self.known.clear()
+        self.held = 0
+
     def encode(self, bodies: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         # The tokenizer lower-cases, but looks for its special tokens before that.
@@ -89,8 +103,12 @@ class WordIds:
 _ENCODERS: dict[str, WordIds] = {}
 
 
-def encoder(file: str) -> WordIds:
-    """One encoder for each worker process, since its words serve many batches."""
+@contextmanager
+def encoder(file: str) -> Iterator[WordIds]:
+    """One encoder for each worker process, since the vocabulary takes long to read; its words are forgotten at the end of a task."""
     if file not in _ENCODERS:
         _ENCODERS[file] = WordIds(file)
-    return _ENCODERS[file]
+    try:
+        yield _ENCODERS[file]
+    finally:
+        _ENCODERS[file].forget()
