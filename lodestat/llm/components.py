@@ -29,7 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         links = settle(small)
-        now = links.agg(F.count("*"), F.sum("u"), F.sum("v"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        # Ids reach far up in 64 bits, so sums of them would overflow.
+        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", F.lit(1), "u"))).first()
         if now == seen:
             break
         seen = now
