@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodestat.llm import chunks, decontaminate, neardup, packing, toxicity
 from lodestat.llm.common import read
-from lodestat.session import settle_table
+from lodestat.session import scratch_tables, settle_outside
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,10 +43,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each result is written before the next stage reads it."""
+    """All stages on ``documents``; each result is written before the next stage reads it, and what a stage kept on the way is removed."""
     docs = read(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = settle_table(docs)
+    for _, stage in STAGES:
+        with scratch_tables(spark):
+            docs = settle_outside(stage(spark, docs, sf_dir))
     return docs
