@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from samples import MESSY, SF, documents
+from samples import LONG, MESSY, SF, documents
 from lodestat.llm import packing
 from lodestat.llm.queries import QUERIES
 from lodestat.llm.tokens import WordIds
@@ -126,9 +126,26 @@ def test_pipeline_stages(spark, tokenizer):
         cp.read = before
 
 
+@pytest.mark.parametrize("rows", [MESSY, []])
+def test_run_equals_its_stages_one_by_one(spark, monkeypatch, rows):
+    """What a stage removes behind itself is not wanted later; empty tables give no pieces."""
+    import corpus_pipeline as cp
+    from lodestat.session import settle_table
+
+    tables = {"documents": documents(spark, rows), "labels": spark.createDataFrame([(1, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int"),
+              "benchmark": spark.createDataFrame([(1, LONG[:3000]), (2, None)], "item_id long, text string")}
+    monkeypatch.setattr(cp, "read", lambda s, d, name: tables[name])
+    want = tables["documents"]
+    for _, stage in cp.STAGES:
+        want = settle_table(stage(spark, want, SF))
+    got = cp.run(spark, SF)
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert bool(got.count()) == bool(rows)
+
+
 def test_each_operator_has_one_query():
     import __spark_entry__ as entry
 
     names = list(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and "pipeline" in names and set(QUERIES) <= set(names)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and "pipeline" in names and set(QUERIES) <= set(names)
     assert set(entry.oracle_sql()) <= set(names)
