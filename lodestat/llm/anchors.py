@@ -22,7 +22,8 @@ class Ranks:
     """
 
     def __init__(self, data: np.ndarray):
-        self.levels = [_BYTES[data]]
+        """``data``: bytes, or 64-bit hashes that stand for words."""
+        self.levels = [data if data.dtype == np.uint64 else _BYTES[data]]
 
     @staticmethod
     def _paired(x: np.ndarray, y: np.ndarray, bit: int, behind: int) -> np.ndarray:
@@ -62,8 +63,8 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def _pieces(bodies: list[bytes], length: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
-    """Slabs of ``(row, first window, windows, bytes)``; a long text is cut so that each window is in one piece."""
+def _pieces(bodies: list, length: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """Slabs of ``(row, first window, windows, bytes or hashes)``; a long text is cut so that each window is in one piece."""
     held, size = [], 0
     for row, body in enumerate(bodies):
         windows = len(body) - length + 1
@@ -78,8 +79,8 @@ def _pieces(bodies: list[bytes], length: int) -> Iterator[list[tuple[int, int, i
         yield held
 
 
-def runs(bodies: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """``(row, start, n, back, fp, whole)`` arrays of the runs of windows in the texts.
+def runs(bodies: list, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """``(row, start, n, back, fp, whole)`` arrays of the runs of windows in the texts, given as bytes or as arrays of word hashes.
 
     A window's anchor is its string of half the length whose hash is least, the first
     of equals; a run is the ``n`` windows from ``start`` on that share one, ``back`` bytes
@@ -88,7 +89,8 @@ def runs(bodies: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
     """
     half = length // 2
     for held in _pieces(bodies, length):
-        data = np.frombuffer(b"".join(p[3] for p in held), np.uint8)
+        words = isinstance(held[0][3], np.ndarray)
+        data = np.concatenate([p[3] for p in held]) if words else np.frombuffer(b"".join(p[3] for p in held), np.uint8)
         begin = np.cumsum([0] + [len(p[3]) for p in held])[:-1]
         count = np.array([p[2] for p in held])
         ranks = Ranks(data)

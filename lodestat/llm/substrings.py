@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from lodestat.llm.anchors import blocks, runs
 from lodestat.llm.common import in_batches, slabs, utf8
+from lodestat.llm.passages import WORDS, sharing_texts
 from lodestat.operators.sizing import broadcast_checked
 from lodestat.session import settle_table
 
@@ -76,11 +77,30 @@ def _merged(length: int):
 
 
 def _rerank(rows: DataFrame, by: list[str]) -> DataFrame:
-    """``rows`` whose rank ``by`` more than one has; the unique ones drop out. Counts are pre-aggregated."""
-    common = rows.groupBy(*by).agg(F.count("*").alias("_c")).filter("_c > 1").select(*by)
+    """``rows`` whose rank ``by`` more than one has; the unique ones drop out.
+
+    Counts are pre-aggregated and written before the join, whose sides then come straight
+    from their exchanges, so that AQE can split a rank that many rows share.
+    """
+    common = settle_table(rows.groupBy(*by).agg(F.count("*").alias("_c")).filter("_c > 1").select(*by))
     return rows.join(common, by, "left_semi")
 
 
+def _mixed(kinds: DataFrame, by: list[str]) -> DataFrame:
+    """``kinds`` of a rank ``by`` that has several, with the same care for common ranks."""
+    several = settle_table(kinds.groupBy(*by).agg(F.count("*").alias("_c")).filter("_c > 1").select(*by))
+    return kinds.join(several, by, "left_semi")
+
+
+def _first_rows(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``k, body, runs``: one row of each wanted text; which one is settled on ids, so copies of a text don't move."""
+    names = broadcast_checked(wanted.select("k"))
+    chosen = keyed.select("k", "doc_id").join(names, "k", "left_semi").groupBy("k").agg(F.min("doc_id").alias("one"))
+    tied = broadcast_checked(chosen.join(wanted, "k"))
+    own = (F.col("t.k") == F.col("c.k")) & F.col("doc_id").eqNullSafe(F.col("one"))
+    return (keyed.select("k", "doc_id", "body").alias("t").join(tied.alias("c"), own).select("t.k", "body", "runs").dropDuplicates(["k"]))
+
+
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``(k, spans)``: the bytes of each text, under its key, that strings of ``length`` bytes occurring elsewhere cover.
 
@@ -97,19 +117,16 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     kinds = settle_table(kinds)
     settled = live.join(kinds.filter("c > 1").select("fp", "whole"), ["fp", "whole"], "left_semi").select("k", "start", "n").distinct()
     # An anchor with one kind of run is settled; otherwise each kind sends one run on.
-    open_ = kinds.groupBy("fp").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("fp")
-    onward = kinds.join(open_, "fp", "left_semi").select("one.*", "fp", (F.col("c") > 1).alias("rep"))
-    wanted = onward.groupBy("k").agg(F.collect_list(F.struct("start", "n", "back", "fp", "rep")).alias("runs"))
-    texts = keyed.select("k", "body").join(broadcast_checked(wanted), "k").dropDuplicates(["k"])
-    cut = settle_table(texts.transform(in_batches, _block_rows(length), _BLOCK))
+    onward = _mixed(kinds, ["fp"]).select("one.*", "fp", (F.col("c") > 1).alias("rep"))
+    wanted = settle_table(onward.groupBy("k").agg(F.collect_list(F.struct("start", "n", "back", "fp", "rep")).alias("runs")))
+    cut = settle_table(_first_rows(keyed, wanted).transform(in_batches, _block_rows(length), _BLOCK))
 
     same = _rerank(cut.select("k", "fp", "block", "core", "high", "n", "whole", "start", "rep"), ["fp", "block", "core"])
     parts = settle_table(same.groupBy("fp", "block", "core", "high", "n", "whole").agg(
         F.count("*").alias("c"), F.min(F.struct("k", "start")).alias("one"), F.max("rep").alias("rep")))
     by_part = ["fp", "block", "core", "high", "n", "whole"]
     equal = cut.filter("not rep").join(parts.filter("c > 1").select(*by_part), by_part, "left_semi").select("k", "start", "n")
-    mixed = parts.groupBy("fp", "block", "core").agg(F.count("*").alias("parts")).filter("parts > 1").select("fp", "block", "core")
-    last = parts.join(mixed, ["fp", "block", "core"], "left_semi").select("one.*", "fp", "block")
+    last = _mixed(parts, ["fp", "block", "core"]).select("one.*", "fp", "block")
     single = (cut.join(last, ["k", "start", "fp", "block"], "left_semi")
               .select("k", "start", "high", "fp", F.posexplode("w").alias("i", "w"))
               .select("k", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"), "fp", (F.col("high") - F.col("i")).alias("back"), "w"))
@@ -133,26 +150,39 @@ def _without(batches):
             removed.append(n)
             digests.append(kept.hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("doc_id", "n_bytes", "n_spans")), pa.array(removed, pa.int64()), pa.array(digests)],
-            names=["doc_id", "n_bytes", "n_spans", "n_removed", "kept_sha256"])
+            [*(batch.column(c) for c in ("doc_id", "k", "n_bytes", "n_spans")), pa.array(removed, pa.int64()), pa.array(digests)],
+            names=["doc_id", "k", "n_bytes", "n_spans", "n_removed", "kept_sha256"])
+
+
+def sharing_rows(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """``k`` of the texts that share a passage of ``words`` words: with another text, or as one that several rows hold."""
+    keyed = _keyed(docs, key, text).select("k", "body")
+    # A text has as many words as runs of other bytes than white space.
+    n_words = F.size(F.split(F.trim(F.regexp_replace(F.col("body").cast("string"), r"[\t-\r ]+", " ")), " "))
+    copies = keyed.groupBy("k").agg(F.count("*").alias("c"), F.max(n_words).alias("n")).filter(f"c > 1 AND n >= {words}").select("k")
+    return settle_table(sharing_texts(keyed, words).unionByName(copies).distinct())
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, words: int = WORDS) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, shares_passage``.
 
     Every byte goes that lies in a string of ``length`` bytes which starts anywhere else
     too, in this or another row; the input alone decides, and spans that overlap or
     touch are one. Strings don't cross rows. Null counts as empty; texts under ``length``
-    bytes keep all. Of repeated long texts no byte stays. An empty table gives no rows;
-    other columns are not read.
+    bytes keep all. Of repeated long texts no byte stays. ``shares_passage`` says whether a
+    passage of ``words`` words stands in another row too, however few bytes it has; nothing
+    is removed for that. An empty table gives no rows; other columns are not read.
     """
+    sharing = sharing_rows(docs, key, text, words)
     spans = settle_table(repeated_spans(docs, key, text, length))
     rows = _keyed(docs, key, text).withColumn("n_bytes", F.octet_length("body").cast("long"))
     tied = rows.join(broadcast_checked(spans), "k", "left").withColumn("n_spans", F.coalesce(F.size("spans"), F.lit(0)).cast("long"))
     # Only texts with spans go through Python; a missing list has size -1 or null.
     clean = tied.filter("spans is null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"),
-                                                F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"))
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_spans", T.LongType()),
+                                                F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"), "k")
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("k", T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_spans", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
-    cut = tied.filter("spans is not null").select("doc_id", "n_bytes", "n_spans", "body", "spans").transform(in_batches, _without, schema)
-    return clean.unionByName(cut)
+    cut = tied.filter("spans is not null").select("doc_id", "k", "n_bytes", "n_spans", "body", "spans").transform(in_batches, _without, schema)
+    out = clean.unionByName(cut).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "k")
+    return (out.join(broadcast_checked(sharing.withColumn("shares", F.lit(True))), "k", "left")
+            .withColumn("shares_passage", F.coalesce("shares", F.lit(False))).drop("k", "shares"))

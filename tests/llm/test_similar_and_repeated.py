@@ -208,3 +208,36 @@ def test_proximity_finds_shifted_terms(spark):
     docs = documents(spark, [(1, item), (2, item.replace("q5", "q5 extra")), (3, "q1 q2 q3")])
     found = decontaminate.proximity_matches(docs, _items(spark, [(1, item)]), slack=2).collect()
     assert {r.doc_id for r in found} == {1, 2}
+
+
+def test_components_of_ids_that_reach_far_up(spark):
+    """Ids from partition 5,000 on, whose sum leaves 64 bits."""
+    base = 5000 << 33
+    edges = spark.range(base, base + 240_000, 1, 6).selectExpr("id AS a", "id - pmod(id, 3) AS b")
+    found = components.components(edges)
+    assert found.count() == 240_000 and found.filter("comp <> node - pmod(node, 3)").isEmpty()
+
+
+def _sharing(rows, n):
+    """Ids of the rows that hold ``n`` words in a row which another row holds too."""
+    at = defaultdict(set)
+    for place, (_, text) in enumerate(rows):
+        w = (text or "").encode().split()
+        for i in range(len(w) - n + 1):
+            at[b" ".join(w[i:i + n])].add(place)
+    return sorted({p for s in at.values() if len(s) > 1 for p in s})
+
+
+@pytest.mark.parametrize("words", [6, 50])
+def test_shared_passages_equal_brute_force(spark, small, words):
+    rng = random.Random(words)
+    passage = [f"p{i}" for i in range(words + 5)]
+    rows = [(r.doc_id, r.text) for r in small.select("doc_id", "text").collect()] + MESSY
+    for i in range(60):
+        own = [f"q{rng.randrange(3000)}" for _ in range(rng.randint(0, 200))]
+        at, cut = rng.randint(0, len(own)), rng.choice([words - 1, words, words + 5, 0])
+        rows.append((10_000 + i, " \n".join(own[:at] + passage[:cut] + own[at:])))
+    found = substrings.remove_repeats(documents(spark, rows).repartition(5), words=words).collect()
+    got = Counter((r.doc_id, r.n_bytes) for r in found if r.shares_passage)
+    want = Counter((rows[p][0], len((rows[p][1] or "").encode())) for p in _sharing(rows, words))
+    assert got == want and len(found) == len(rows)
