@@ -15,13 +15,16 @@ from lodestat.session import settle_table
 
 #: Labelled rows to learn from, by a hash of the id; the only sample here.
 MAX_LABELLED = 200_000
-#: Terms whose contexts are counted, and entries of the lexicon; the most significant stay.
+#: Terms whose contexts are counted, and entries of the lexicon, as bounds on what a model of a bounded sample
+#: may hold; the most significant stay. Both are parameters of ``learn``.
 MAX_CANDIDATES, MAX_LEXICON = 50_000, 20_000
 PRIOR_MASS, PRIOR_FLOOR = 500.0, 0.5
 LEAST_Z = 3.0
 DRIFT = 0.5
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
+#: Evidence of a text without any run of toxic words.
+NO_RUN = -4.0
 _SEPARATORS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 _REMEMBERED = 300_000
 _BIN = 0.25
@@ -42,7 +45,7 @@ def _terms(words) -> set[bytes]:
 
 @dataclass
 class Model:
-    """A lexicon of log-odds, the extreme-value constants and the calibration."""
+    """A lexicon of log-odds, the extreme-value constants and the calibration; without labels every text has the score of ``NO_RUN``."""
 
     weights: dict[bytes, float]
     scale: float = 1.0
@@ -97,21 +100,23 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 def significance(model: Model, body: bytes, weights: dict) -> tuple[float, list[tuple[int, int, float]]]:
     """Evidence of a text, and its passages ``(first word, word behind, excess)``.
 
-    A passage's excess is its scaled score less the logarithm of the number of such
-    runs that clean text of this length is expected to hold (extreme-value law), and
-    a passage counts if that is positive. The evidence is the logarithm of the
-    summed odds; without a passage it is the best run's negative excess.
+    By the extreme-value law, clean text of ``n`` words is expected to hold
+    ``K n exp(-score)`` runs of a scaled score or more. A passage's excess is its scaled
+    score less the logarithm of ``K n``, of one at least, and it counts if that is
+    positive. The evidence is the logarithm of the passages' summed odds and never
+    negative with one; without a passage it is the best run's excess, which is at most
+    0, and that of a text without any run is ``NO_RUN``, whatever its length.
     """
     words = words_of(body)
-    floor = model.log_k + math.log(len(words) + 1)
     if not words:
-        return -floor - 1, []
+        return NO_RUN, []
+    floor = max(0.0, model.log_k + math.log(len(words)))
     runs = segments(np.fromiter(map(weights.__getitem__, words), np.float64, len(words)))
     excess = [(s, e, model.scale * v - floor) for s, e, v in runs]
     good = [x for x in excess if x[2] > 0]
     if good:
-        return float(np.logaddexp.reduce([x[2] for x in good])), good
-    return max((x[2] for x in excess), default=-floor), []
+        return max(0.0, float(np.logaddexp.reduce([x[2] for x in good]))), good
+    return max((x[2] for x in excess), default=NO_RUN), []
 
 
 def is_held_out(key: Column) -> Column:
@@ -189,14 +194,16 @@ def _log_odds(counts: DataFrame, n1: float, n0: float) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-          most: int = MAX_LABELLED) -> Model:
+          most: int = MAX_LABELLED, candidates: int = MAX_CANDIDATES, lexicon: int = MAX_LEXICON) -> Model:
     """Fit the model on labelled rows whose id isn't held out.
 
     Spark counts the texts of each class that hold a term; the log-odds have a
     Dirichlet prior in proportion to the terms' overall frequency. The terms that stand
     out are then counted by distinct neighbour words, so that the copies of one text
     count once, and stay if still above ``LEAST_Z`` standard deviations. Without
-    labels, or with one class only, the lexicon is empty.
+    labels, or with one class only, the lexicon is empty. A null label or id says
+    nothing; of several labels of an id the highest holds; a labelled id without a text is
+    an empty one; every row of a repeated id is one more text of its label.
     """
     sample = settle_table(_labelled(docs, labels, key, text, label, most))
     counts = settle_table(sample.transform(in_batches, _count_terms, "term binary, y1 bigint, y0 bigint")
@@ -207,16 +214,17 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if not n1 or not n0:
         return model
     top = lambda rows, most: rows.filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(most)
-    candidates = frozenset(bytes(r["term"]) for r in top(_log_odds(counts.filter("y1 >= 2"), n1, n0), MAX_CANDIDATES).select("term").collect())
-    by_context = (sample.transform(in_batches, _contexts(candidates), "term binary, near bigint, y int")
+    standing = frozenset(bytes(r["term"]) for r in top(_log_odds(counts.filter("y1 >= 2"), n1, n0), candidates).select("term").collect())
+    by_context = (sample.transform(in_batches, _contexts(standing), "term binary, near bigint, y int")
                   .groupBy("term", "near").agg(F.max(F.when(F.col("y") == 1, 1).otherwise(0)).alias("y1"),
                                                F.max(F.when(F.col("y") == 0, 1).otherwise(0)).alias("y0"))
                   .groupBy("term").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")))
-    lexicon = top(_log_odds(by_context.filter("y1 >= 3"), n1, n0), MAX_LEXICON).select("term", "d", "y0").collect()
-    model.weights = {bytes(r["term"]): float(r["d"]) for r in lexicon}
-    if not lexicon:
+    kept = top(_log_odds(by_context.filter("y1 >= 3"), n1, n0), lexicon).select("term", "d", "y0").collect()
+    model.weights = {bytes(r["term"]): float(r["d"]) for r in kept}
+    if not kept:
         return model
-    model.scale = _scale([float(r["d"]) for r in lexicon], [(float(r["y0"]) + 0.5) / n0 for r in lexicon])
+    model.scale = _scale([float(r["d"]) for r in kept], [(float(r["y0"]) + 0.5) / n0 for r in kept])
+    model.log_k = _log_k(model, sample)
     _calibrate(model, sample)
     return model
 
@@ -233,6 +241,36 @@ def _scale(weights: list[float], rates: list[float]) -> float:
     return low
 
 
+def best_run(model: Model, body: bytes, weights: dict) -> tuple[int, float]:
+    """The number of words of a text and the scaled score of its best run, 0 without one."""
+    words = words_of(body)
+    if not words:
+        return 0, 0.0
+    runs = segments(np.fromiter(map(weights.__getitem__, words), np.float64, len(words)))
+    return len(words), model.scale * max((v for *_, v in runs), default=0.0)
+
+
+def _log_k(model: Model, sample: DataFrame) -> float:
+    """The extreme-value law's constant: the likeliest one for the best runs of the clean texts, by their lengths.
+
+    A best score ``s`` of ``n`` words has the density ``K n exp(-s - K n exp(-s))``, and none
+    at all the probability ``exp(-K n)``; so K is the number of texts with a run over the
+    sum of ``n exp(-s)``. Sums per task are added up.
+    """
+    def run(batches):
+        weights, found, mass = _Weights(model), 0, 0.0
+        for batch in batches:
+            for b, y in zip(batch.column("body"), batch.column("y").to_pylist()):
+                if not y:
+                    n, s = best_run(model, b.as_py(), weights)
+                    found += s > 0
+                    mass += n * math.exp(-s)
+        yield pa.RecordBatch.from_arrays([pa.array([found], pa.int64()), pa.array([mass], pa.float64())], names=["found", "mass"])
+
+    sums = sample.transform(in_batches, run, "found bigint, mass double").agg(F.sum("found").alias("found"), F.sum("mass").alias("mass")).first()
+    return math.log((sums["found"] + 0.5) / (sums["mass"] + 1.0))
+
+
 def _calibrate(model: Model, sample: DataFrame) -> None:
     """Logistic calibration of the evidence, on counts in bins of the evidence."""
     def run(batches):
@@ -285,7 +323,10 @@ def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose score reaches the threshold; all columns of the others stay."""
+    """``docs`` without the rows whose score reaches the threshold; all columns of the others stay.
+
+    Null and empty texts hold no passage and stay; equal rows share their fate.
+    """
     at = docs.columns.index(text)
 
     def run(batches):

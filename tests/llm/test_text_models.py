@@ -1,5 +1,6 @@
 """Toxicity and token counts."""
 
+import math
 import random
 import zlib
 
@@ -63,6 +64,33 @@ def test_toxic_texts_are_found_on_held_out_rows(spark, model):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in rows.items() if not r.predicted}
 
 
+def test_log_odds_scale_and_constant_equal_their_formulas(spark, model):
+    docs, labels, fitted = model
+    counts = spark.createDataFrame([(b"a", 5, 1), (b"b", 0, 9)], "term binary, y1 long, y0 long")
+    for r in toxicity._log_odds(counts, 20.0, 80.0).collect():
+        a = toxicity.PRIOR_FLOOR + toxicity.PRIOR_MASS * (r.y1 + r.y0) / 100
+        one, two = (r.y1 + a) / (20 + toxicity.PRIOR_MASS - r.y1 - a), (r.y0 + a) / (80 + toxicity.PRIOR_MASS - r.y0 - a)
+        assert r.d == pytest.approx(math.log(one / two)) and r.z == pytest.approx(r.d / math.sqrt(1 / (r.y1 + a) + 1 / (r.y0 + a)))
+    weights, rates = [2.0, 3.0], [0.01, 0.002]
+    scale = toxicity._scale(weights, rates)
+    assert sum(p * math.exp(scale * w) for w, p in zip(weights, rates)) + (1 - sum(rates)) * math.exp(-scale * toxicity.DRIFT) == pytest.approx(1)
+    sample = toxicity._labelled(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), "doc_id", "text", "toxic", 10 ** 6)
+    found, mass, memory = 0, 0.0, toxicity._Weights(fitted)
+    for r in sample.filter("y = 0").collect():
+        n, s = toxicity.best_run(fitted, bytes(r.body), memory)
+        found, mass = found + (s > 0), mass + n * math.exp(-s)
+    assert fitted.log_k == pytest.approx(math.log((found + 0.5) / (mass + 1)))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 30, 5000])
+def test_texts_without_a_passage_score_alike_at_any_length(model, n):
+    fitted = model[2]
+    x, runs = toxicity.significance(fitted, b"calm " * n, toxicity._Weights(fitted))
+    assert x == toxicity.NO_RUN and not runs and fitted.probability(x) < toxicity.THRESHOLD
+    y, runs = toxicity.significance(fitted, b"calm " * n + b"zotpig zotscum zotfool " + b"calm " * n, toxicity._Weights(fitted))
+    assert runs and y >= 0 and fitted.probability(y) >= toxicity.THRESHOLD
+
+
 def test_held_out_labels_change_nothing(spark, model):
     docs, labels, fitted = model
     turned = [(i, 1 - y if zlib.crc32(str(i).encode()) % 4 == 2 else y) for i, y in labels]
