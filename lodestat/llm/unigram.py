@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 import ahocorasick
@@ -88,12 +89,20 @@ class _Words(dict):
 
 
 def read_pieces(model_file: str) -> list[tuple[str, float]]:
-    """Ordinary pieces and scores of a vocabulary file; control, unknown and byte entries stay out."""
+    """Ordinary pieces of a vocabulary file with log-probabilities by Zipf's law.
+
+    Pieces of a merge vocabulary stand in the order in which they were merged, from the
+    most frequent on, and carry no probabilities. So the piece at place ``r`` from 1 has the
+    probability ``1 / r`` over the sum of all; nothing is trained. Control, unknown and byte
+    entries stay out.
+    """
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=model_file)
-    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())
-            if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())
+              if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+    total = math.log(sum(1 / r for r in range(1, len(pieces) + 1)))
+    return [(p, -math.log(r) - total) for r, p in enumerate(pieces, 1)]
 
 
 _COUNTERS: dict[str, UnigramCounter] = {}
