@@ -2,6 +2,7 @@ import datetime as dt
 import decimal
 import math
 import random
+import re
 import struct
 
 import numpy as np
@@ -79,6 +80,27 @@ def test_ordered_keys_sort_as_numbers(spark, values):
         assert k == (bits if v >= 0 else -bits)
 
 
+def test_ordered_keys_are_cheap(spark, capsys):
+    """The JVM compiles no method of more than 8,000 bytes, and an interpreted key costs a hundred times as much."""
+    frame(spark, [1.0, None]).selectExpr(f"{ordered_key('x')} AS key").explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_quantile_rounds_compute_a_key_once(spark, monkeypatch, capsys):
+    """Keys are not computed again in filters that are derived from the joins of the later rounds."""
+    monkeypatch.setattr(q, "BITS", 4)
+    seen, count = [], q._count
+    monkeypatch.setattr(q, "_count", lambda rows, digit: seen.append(rows) or count(rows, digit))
+    df = spark.range(500).select(F.exp(F.col("id") / 9).alias("x"))
+    q.quantiles(df, "x", [0.3]).collect()
+    assert len(seen) > 1
+    for rows in seen[1:]:
+        rows.explain()
+        plan = capsys.readouterr().out
+        assert not any("Filter" in line and "LOG2" in line.upper() for line in plan.splitlines())
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=30))
 def test_quantiles_match_numpy(spark, values):
