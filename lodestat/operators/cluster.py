@@ -20,6 +20,9 @@ from lodestat.session import attach_row
 
 # Rounds of seeding, and candidates drawn in each for every centre wanted.
 SEED_ROUNDS, OVERSAMPLING = 5, 2
+# Of the exact silhouette: bytes of a block's vectors, blocks of a table that has larger ones
+# than asked for, and distances that a task holds at once.
+BLOCK_BYTES, LEAST_BLOCKS, TILE = 16 << 20, 16, 250_000
 
 
 def with_array(df: DataFrame, cols: list[str], name: str = "x") -> DataFrame:
@@ -363,37 +366,79 @@ def silhouette_squared(df: DataFrame, features: str = "x", cluster: str = "clust
     return df.sparkSession.createDataFrame([(float(score),)], "silhouette_squared double")
 
 
+def _runs(rows: pd.DataFrame) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cluster names, different vectors ordered by cluster, their numbers of rows, the ends of the clusters' runs, and each row's vector."""
+    names = sorted(rows["cluster"].unique())
+    place = {name: i for i, name in enumerate(names)}
+    code = np.array([place[name] for name in rows["cluster"]], float)
+    seen, at, n = np.unique(np.column_stack((code, np.stack(rows["x"]))), axis=0, return_inverse=True, return_counts=True)
+    return names, seen[:, 1:], n.astype(float), np.searchsorted(seen[:, 0], np.arange(len(names) + 1)), at.reshape(-1)
+
+
+def _euclidean(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of every row of ``a`` from every row of ``b``, from one matrix product.
+
+    Where it cancels more than six digits, or there are no finite numbers, the differences are taken.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        sa, sb = (a * a).sum(axis=1)[:, None], (b * b).sum(axis=1)
+        square = (-2.0 * a) @ b.T
+        square += sb
+        square += sa
+        # One bound for all pairs first, which most blocks keep.
+        if not (square.min() > 1e-6 * (sa.max() + sb.max()) and square.max() < np.inf):
+            i, j = np.nonzero(~((square > 1e-6 * (sa + sb)) & (square < np.inf)))
+            for at in range(0, len(i), 100_000):
+                x, y = i[at:at + 100_000], j[at:at + 100_000]
+                square[x, y] = ((b[y] - a[x]) ** 2).sum(axis=1)
+        return np.sqrt(square, out=square)
+
+
+def _distance_sums(left: tuple, right: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of distances from each vector of ``left`` to each cluster of ``right``, and the other way round."""
+    (_, a, na, ea, _), (_, b, nb, eb, _) = left, right
+    there, back = np.zeros((len(a), len(eb) - 1)), np.zeros((len(b), len(ea) - 1))
+    slab = max(1, TILE // len(b))
+    for at in range(0, len(a), slab):
+        dist = _euclidean(a[at:at + slab], b)
+        for k in range(len(eb) - 1):
+            there[at:at + slab, k] = dist[:, eb[k]:eb[k + 1]] @ nb[eb[k]:eb[k + 1]]
+        for k in range(len(ea) - 1):
+            lo, hi = max(ea[k] - at, 0), min(ea[k + 1] - at, len(dist))
+            if lo < hi:
+                back[:, k] += na[at + lo:at + hi] @ dist[lo:hi]
+    return there, back
+
+
 def silhouette_exact(df: DataFrame, key: str, features: str, cluster: str,
                      block_rows: int = 2000) -> DataFrame:
     """Exact Euclidean silhouette per row: (key, cluster, a, b, silhouette).
 
     Quadratic by nature, so the rows are cut into blocks of a bounded size by a
-    hash of the key (however large a cluster is), each pair of blocks is one task
-    group, and a group returns only distance sums per row and cluster. For large
-    tables use ``silhouette_squared``.
+    hash of the key (however large a cluster is), each unordered pair of blocks is one
+    task group, and a group returns only distance sums per row and cluster. Rows and sums
+    that move grow with the number of blocks, so a large table has larger blocks than
+    ``block_rows``, of at most ``BLOCK_BYTES``. For large tables use ``silhouette_squared``.
     """
-    blocks = max(1, math.ceil(df.count() / block_rows))
+    n, width = df.agg(F.count(F.lit(1)), F.max(F.size(features))).first()
+    most = max(block_rows, min(n // LEAST_BLOCKS, BLOCK_BYTES // (8 * max(1, width or 0))))
+    blocks = max(1, math.ceil(n / most))
     block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
     rows = df.select(F.col(key).alias("key"), F.col(features).cast("array<double>").alias("x"),
-                     F.col(cluster).cast("string").alias("cluster"), block.alias("mine"),
-                     F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
+                     F.col(cluster).cast("string").alias("cluster"), block.alias("mine"))
 
-    def sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def sums(place: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"key": [], "cluster": [], "near": [], "total": []})
-        a, b = np.stack(left["x"]), np.stack(right["x"])
-        dist = np.empty((len(a), len(b)))
-        for i, row in enumerate(a):
-            dist[i] = np.sqrt(((b - row) ** 2).sum(axis=1))
-        parts = []
-        for name in sorted(right["cluster"].unique()):
-            parts.append(pd.DataFrame({
-                "key": left["key"], "cluster": left["cluster"], "near": name,
-                "total": dist[:, (right["cluster"] == name).to_numpy()].sum(axis=1)}))
-        return pd.concat(parts)
-
-    left = rows.withColumns({"bi": F.col("mine"), "bj": F.col("other")}).groupBy("bi", "bj")
-    right = rows.withColumns({"bi": F.col("other"), "bj": F.col("mine")}).groupBy("bi", "bj")
+        a, b = _runs(left), _runs(right)
+        there, back = _distance_sums(a, b)
+        sides = [(left, a, b[0], there)] + ([(right, b, a[0], back)] if place[0] != place[1] else [])
+        return pd.concat([pd.DataFrame({"key": side["key"], "cluster": side["cluster"], "near": name, "total": total[own[4], k]})
+                          for side, own, names, total in sides for k, name in enumerate(names)])
+
+    later, earlier = F.sequence("mine", F.lit(blocks - 1)), F.sequence(F.lit(0), "mine")
+    left = rows.select("*", F.col("mine").alias("bi"), F.explode(later).alias("bj")).groupBy("bi", "bj")
+    right = rows.select("*", F.explode(earlier).alias("bi"), F.col("mine").alias("bj")).groupBy("bi", "bj")
     kind = dict(df.dtypes)[key]
     part = left.cogroup(right).applyInPandas(sums, f"key {kind}, cluster string, near string, total double")
     sizes = df.groupBy(F.col(cluster).cast("string").alias("near")).agg(F.count(F.lit(1)).alias("size"))

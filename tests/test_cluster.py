@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +118,23 @@ def test_exact_silhouette_equals_brute_force(spark, block):
         assert got[i] == pytest.approx((b - a) / max(a, b)) and -1 <= got[i] <= 1
 
 
+def test_exact_silhouette_has_few_blocks(spark, capsys):
+    """A larger table has larger blocks, since the rows and sums that move grow with their number."""
+    df = spark.range(640).select("id", F.array(F.rand(3), F.rand(4)).alias("x"), (F.col("id") % 3).alias("label"))
+    out = cluster.silhouette_exact(df, "id", "x", "label", 4)
+    out.explain()
+    blocks = {int(n) for n in re.findall(r"xxhash64\(id#\d+L, 42\), (\d+)\)", capsys.readouterr().out)}
+    assert blocks and max(blocks) <= cluster.LEAST_BLOCKS + 1
+    assert len(out.collect()) == 640
+
+
+def test_distances_of_copies_and_odd_numbers():
+    far = np.array([[1e8, 1.0], [1e8, 1.0], [1e8, 1.0 + 1e-6], [1e200, 0.0], [np.inf, 0.0], [np.nan, 0.0], [0.0, 0.0], [3.0, 4.0]])
+    with np.errstate(over="ignore", invalid="ignore"):
+        want = np.sqrt(((far[:, None] - far) ** 2).sum(axis=2))
+    np.testing.assert_allclose(cluster._euclidean(far, far), want, rtol=1e-9)
+
+
 def test_segment_rules_in_order(spark, rows):
     df = spark.createDataFrame([(0, 3.0, 1.0, 2.0), (1, 1.0, 5.0, 2.0), (2, 1.0, 1.0, 9.0), (3, 0.0, 1.0, 1.0)],
                                "cluster int, central_score double, value_score double, accommodates double")
