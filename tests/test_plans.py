@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lodestat.plans import listings as pl
-from lodestat.plans.catalog import QUERIES
+from lodestat.plans.catalog import QUERIES, long_tables
 from lodestat.sources.fixtures import view
 
 SF = "/root/testdata/sf0.001"
@@ -64,3 +64,15 @@ def test_scans_read_only_what_a_query_needs(spark):
 def test_broadcast_nearby_count_needs_no_shuffle_of_the_rows(spark):
     plan = QUERIES["points_within_radius"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" in plan and "Cartesian" not in plan and "Join Cross" not in plan
+
+
+def test_long_tables_digest_a_row_once(spark, capsys):
+    """The digest stands below the step that makes a row per cell, where it is computed once a row."""
+    df = spark.range(3).select("id", (F.col("id") / 3).alias("x"), F.lit("t").alias("t"))
+    out = long_tables({"a": df})
+    out.explain()
+    lines = capsys.readouterr().out.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Generate" in line)
+    assert any("sha2" in line for line in lines[at:]) and not any("sha2" in line for line in lines[:at])
+    got = out.collect()
+    assert len(got) == 9 and {(r["column"], r["value"]) for r in got if r["column"] == "x"} == {("x", "0.0"), ("x", "0.333333"), ("x", "0.666667")}
