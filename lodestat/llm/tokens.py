@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import unicodedata
+import string
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -13,6 +13,7 @@ REMEMBERED_BYTES = 48 << 20
 _ENTRY_BYTES = 180
 _LONGEST_KEPT = 64
 _JOINED = 2_000
+_SIGNS = string.punctuation.encode()
 
 
 def _byte_signs() -> list[str]:
@@ -22,6 +23,14 @@ def _byte_signs() -> list[str]:
     return [chr(b if b in plain else next(later)) for b in range(256)]
 
 
+def _ends_in_letter(word: bytes) -> bool:
+    """Whether the last sign is an ASCII letter or a lower-case one below U+0250; the capital I with a dot ends in a mark when lower-cased."""
+    if word[-1:].isascii():
+        return word[-1:].isalpha()
+    last = word[-2:].decode("utf-8", "replace")
+    return len(last) == 1 and last < "\u0250" and last.isalpha() and last.islower()
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space and joins no word over it.
 
@@ -39,17 +48,24 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
         self.held = 0
         self.model, self.signs = self.tokenizer.model, _byte_signs()
+        ids = np.arange(self.tokenizer.get_vocab_size(), dtype="<u4").tobytes()
+        self.id_bytes = [ids[at:at + 4] for at in range(0, len(ids), 4)]
 
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _encode(self, words: set[bytes]) -> dict[bytes, bytes]:
         found = {}
         plain = []
+        tokenize, signs, id_bytes = self.model.tokenize, self.signs, self.id_bytes
         for w in words:
-            text = w.decode("utf-8", "replace")
-            if text.isalpha() and text == text.lower() and max(text) < "\u0250" and unicodedata.is_normalized("NFC", text):
-                signs = text if text.isascii() else "".join([self.signs[b] for b in w])
-                found[w] = np.array([t.id for t in self.model.tokenize(signs)], "<u4").tobytes()
+            if w.isascii():
+                written = w.decode() if w.isalpha() and w.islower() else None
+            else:
+                text = w.decode("utf-8", "replace")
+                # Below U+0250 every text is in normal form.
+                written = "".join([signs[b] for b in w]) if text.isalpha() and text == text.lower() and max(text) < "\u0250" else None
+            if written is not None:
+                found[w] = b"".join([id_bytes[t.id] for t in tokenize(written)])
             elif b"<|" in w or len(w) > 1000:
-                found[w] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                found[w] = np.array(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
             else:
                 plain.append(w)
         for at in range(0, len(plain), _JOINED):
@@ -62,23 +78,44 @@ class WordIds:
             found.update((w, data[4 * b:4 * e]) for w, b, e in zip(part, begin, end, strict=True))
         return found
 
-    def _add(self, new: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that aren't known yet; a sign behind an ASCII letter is a token of its own, so most such words reduce to others."""
-        stems = {w: w[:-1] for w in new if w[-1:] in (b",", b".") and w[-2:-1].isalpha()}
-        wanted = {w for w in new if w not in stems}
-        wanted.update(w for w in stems.values() if w not in self.known)
-        wanted.update(x for x in (b",", b".") if x not in self.known)
-        found = self._encode(sorted(wanted))
-        for w, stem in stems.items():
-            sign = w[-1:]
-            found[w] = (self.known.get(stem) or found[stem]) + (self.known.get(sign) or found[sign])
-        for w, i in found.items():
-            if self.held >= REMEMBERED_BYTES:
-                break
-            if len(w) <= _LONGEST_KEPT:
-                self.known[w] = i
+    def _add(self, new: set[bytes]) -> list[bytes]:
+        """Learn words; those beyond the bound are returned.
+
+        Signs behind a letter are tokens of their own, so most words with such are put together from others; that is
+        cheap enough to do again, so they take at most half of what is remembered.
+        """
+        known = self.known
+        joined, wanted = [], set()
+        for w in new:
+            stem = w.rstrip(_SIGNS)
+            if len(stem) < len(w) and _ends_in_letter(stem) and b"<|" not in w:
+                joined.append(w)
+                wanted.add(stem)
+                wanted.add(w[len(stem):])
+            else:
+                wanted.add(w)
+        fresh = self._encode(wanted.difference(known))
+        known.update(fresh)
+        whole = {}
+        for w in joined:
+            stem = w.rstrip(_SIGNS)
+            whole[w] = known[stem] + known[w[len(stem):]]
+        known.update(whole)
+        return self._beyond(fresh, REMEMBERED_BYTES) + self._beyond(whole, REMEMBERED_BYTES // 2)
+
+    def _beyond(self, learnt: dict[bytes, bytes], most: int) -> list[bytes]:
+        """Of words just learnt, those that are not to be remembered with ``most`` bytes in all."""
+        size = _ENTRY_BYTES * len(learnt) + sum(map(len, learnt)) + sum(map(len, learnt.values()))
+        if self.held + size <= most:
+            self.held += size
+            return []
+        beyond = []
+        for w, i in learnt.items():
+            if self.held >= most or len(w) > _LONGEST_KEPT:
+                beyond.append(w)
+            else:
                 self.held += _ENTRY_BYTES + len(w) + len(i)
-        return found
+        return beyond
 
     def forget(self) -> None:
         """Give back the words' memory, which a worker process would else keep through later stages."""
@@ -89,15 +126,12 @@ class WordIds:
         """Little-endian 32-bit ids of each text."""
         # The tokenizer lower-cases, but looks for its special tokens before that.
         split = [(b if b"<|" in b else b.lower()).split() for b in bodies]
-        known = self.known.get
-        parts = [list(map(known, words)) for words in split]
-        open_ = [i for i, p in enumerate(parts) if None in p]
-        if open_:
-            new = {w for i in open_ for w, p in zip(split[i], parts[i]) if p is None}
-            fresh = self._add(new)
-            for i in open_:
-                parts[i] = [fresh[w] if p is None else p for w, p in zip(split[i], parts[i])]
-        return list(map(b"".join, parts))
+        beyond = self._add(set().union(*split).difference(self.known))
+        ids = self.known.__getitem__
+        out = [b"".join(map(ids, words)) for words in split]
+        for w in beyond:
+            del self.known[w]
+        return out
 
 
 _ENCODERS: dict[str, WordIds] = {}

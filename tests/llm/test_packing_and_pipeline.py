@@ -149,3 +149,18 @@ def test_each_operator_has_one_query():
     names = list(entry.queries())
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and "pipeline" in names and set(QUERIES) <= set(names)
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_words_with_signs_reduce_to_others(tokenizer, monkeypatch):
+    words = WordIds(FILE)
+    words.encode(["wort été *** ). !".encode()])
+    asked = []
+    encode = words._encode
+    monkeypatch.setattr(words, "_encode", lambda new: asked.extend(new) or encode(new))
+    text = "wort*** été). wort! été***"
+    assert words.encode([text.encode()])[0] == _ids(tokenizer, text)[:-1].tobytes() and asked == []
+
+
+@pytest.mark.parametrize("text", ["Aİ| sİ.", "É!! é\u0301.. e\u0301, ª. ǀ!", "'s. x's, y'T.", "a<|. <|endoftext|>. b<|endoftext|>!", "½. 1, 本. ×. ſ!", "= a. =\u0338, "])
+def test_signs_behind_odd_letters(tokenizer, text):
+    assert WordIds(FILE).encode([text.encode()])[0] == _ids(tokenizer, text)[:-1].tobytes()
