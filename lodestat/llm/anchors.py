@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 
 SEGMENT = 1 << 19
+#: Bytes or words hashed at a time: arrays of so many numbers stay in the processor's cache and are not mapped anew.
+GROUP = 1 << 16
 BLOCK = 16
 _PLACE = np.uint64((1 << 22) - 1)
 _BYTES = np.random.Generator(np.random.PCG64(5)).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -72,7 +74,7 @@ def _pieces(bodies: list, length: int) -> Iterator[list[tuple[int, int, int, byt
             b = min(windows, a + SEGMENT)
             held.append((row, a, b - a, body[a:b + length - 1]))
             size += len(held[-1][3])
-            if size >= SEGMENT:
+            if size >= GROUP:
                 yield held
                 held, size = [], 0
     if held:
@@ -121,7 +123,7 @@ def blocks(body: bytes, wanted: list[tuple[int, int, int]], length: int) -> Iter
         held.append((i, start, n, back))
         data.append(body[start:start + n - 1 + length])
         size += len(data[-1])
-        if size >= SEGMENT or i + 1 == len(wanted):
+        if size >= GROUP or i + 1 == len(wanted):
             ranks = Ranks(np.frombuffer(b"".join(data), np.uint8))
             full, core = ranks.of(length), spread(ranks.of(length - BLOCK + 1))
             ends = spread(full)

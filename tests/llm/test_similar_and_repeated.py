@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from samples import MESSY, documents
-from lodestat.llm import anchors, components, decontaminate, neardup, substrings
+from lodestat.llm import anchors, components, decontaminate, neardup, passages, substrings
 
 
 def _sets(rows, size):
@@ -241,3 +241,23 @@ def test_shared_passages_equal_brute_force(spark, small, words):
     got = Counter((r.doc_id, r.n_bytes) for r in found if r.shares_passage)
     want = Counter((rows[p][0], len((rows[p][1] or "").encode())) for p in _sharing(rows, words))
     assert got == want and len(found) == len(rows)
+
+
+def test_texts_are_hashed_in_small_groups(monkeypatch):
+    sizes, ranks = [], anchors.Ranks
+    monkeypatch.setattr(anchors, "Ranks", lambda data: sizes.append(len(data)) or ranks(data))
+    bodies = [bytes([97 + i % 26]) * 999 for i in range(300)]
+    assert sum(len(r[0]) for r in anchors.runs(bodies, 40)) >= 300
+    assert max(sizes) < anchors.GROUP + 999 and sum(sizes) == 300 * 999
+
+
+@pytest.mark.parametrize("group", [70, 200])
+def test_word_hashes_tell_words_apart(monkeypatch, group):
+    monkeypatch.setattr(passages, "_GROUP", group)
+    r = random.Random(group)
+    bodies = [bytes(r.choices(b"ab\xff\x00 \t\x0b" if i % 3 else b"aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaab" * 3 + b" ", k=r.choice([0, 1, 30, 69, 70, 71, 500]))) for i in range(200)]
+    made, words, hashes = passages.word_hashes(bodies), {}, {}
+    for found, body in zip(made, bodies, strict=True):
+        for w, h in zip(body.split(), found.tolist(), strict=True):
+            assert words.setdefault(w, h) == h and hashes.setdefault(h, w) == w
+    assert any(len(w) > 2 * passages._LONG for w in words)
