@@ -45,11 +45,21 @@ def with_decision(docs: DataFrame, decisions: DataFrame, how: str, key: str = "d
     return docs.alias("kept_docs").join(wanted, same, how)
 
 
-def in_batches(df: DataFrame, run, schema) -> DataFrame:
+def giving_back(run):
+    """``run``, then Arrow's freed memory goes back, which a worker process would else keep through later stages."""
+    def rows(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+    return rows
+
+
+def in_batches(df: DataFrame, run, schema, size: int = BATCH_BYTES) -> DataFrame:
     """``mapInArrow`` in batches of bounded bytes, since rows may hold long texts."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    df.sparkSession.conf.set(name, str(BATCH_BYTES))
-    return df.mapInArrow(run, schema)
+    df.sparkSession.conf.set(name, str(size))
+    return df.mapInArrow(giving_back(run), schema)
 
 
 def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[tuple[int, list[bytes]]]:

@@ -16,6 +16,8 @@ from lodestat.session import settle_table
 
 WINDOW, UNIT, LEAST = 4096, 16, 256
 _CHUNK = 100_000
+#: Bytes of texts that go to a task's Python at once, and that are split into words at once, which takes many times their size.
+_BATCH, _SLAB = 4 << 20, 1 << 20
 
 
 def combinations(top: int, least: int) -> list[dict[int, int]]:
@@ -122,7 +124,7 @@ def _tokenized(file: str, end_id: int, window: int):
 
     def encoded(words, batch):
         tokens, crcs, tail = [], [], []
-        for _, bodies in slabs(batch.column("body")):
+        for _, bodies in slabs(batch.column("body"), _SLAB):
             for ids in words.encode(bodies):
                 ids += last
                 n = len(ids) // 4
@@ -147,7 +149,7 @@ def _cut_sums(file: str, end_id: int):
 
     def summed(words, batch):
         rows = {"k_id": [], "k_sha": [], "start": [], "length": [], "cut_crc": []}
-        for first, bodies in slabs(batch.column("body")):
+        for first, bodies in slabs(batch.column("body"), _SLAB):
             for i, ids in enumerate(words.encode(bodies), first):
                 ids += last
                 for cut in batch.column("cuts")[i].as_py():
@@ -188,7 +190,7 @@ def pack(docs: DataFrame, file: str, key: str = "doc_id", text: str = "text", wi
     keyed = row_key(docs, key, text)
     fields = [keyed.schema["k_id"], keyed.schema["k_sha"], T.StructField("tokens", T.LongType()),
               T.StructField("crcs", T.ArrayType(T.LongType())), T.StructField("tail_crc", T.LongType())]
-    rows = settle_table(keyed.transform(in_batches, _tokenized(file, end_id, window), T.StructType(fields))
+    rows = settle_table(keyed.transform(in_batches, _tokenized(file, end_id, window), T.StructType(fields), _BATCH)
                         .withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()))
     tail = F.col("tokens") % window
     rows = rows.withColumn("tail", tail).withColumn("tail_start", F.col("tokens") - tail)
@@ -245,7 +247,7 @@ def pack(docs: DataFrame, file: str, key: str = "doc_id", text: str = "text", wi
               .withColumnsRenamed({"k_id": "w_id", "k_sha": "w_sha"}))
     again = keyed.join(broadcast_checked(wanted), F.col("k_id").eqNullSafe(F.col("w_id")) & (F.col("k_sha") == F.col("w_sha"))).drop("w_id", "w_sha")
     sums = again.transform(in_batches, _cut_sums(file, end_id), T.StructType(
-        [fields[0], fields[1], *(T.StructField(c, T.LongType()) for c in ("start", "length", "cut_crc"))])).distinct()
+        [fields[0], fields[1], *(T.StructField(c, T.LongType()) for c in ("start", "length", "cut_crc"))]), _BATCH).distinct()
     p, s = pieces.filter("is_cut").alias("p"), sums.alias("s")
     cut = p.join(s, F.col("p.k_id").eqNullSafe(F.col("s.k_id")) & (F.col("p.k_sha") == F.col("s.k_sha"))
                  & (F.col("p.start") == F.col("s.start")) & (F.col("p.length") == F.col("s.length"))).select("p.*", F.col("s.cut_crc").alias("ids_crc32"))

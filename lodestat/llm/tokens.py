@@ -9,7 +9,7 @@ from contextlib import contextmanager
 import numpy as np
 
 #: Bytes of words and ids that one task remembers, with what Python adds to each.
-REMEMBERED_BYTES = 48 << 20
+REMEMBERED_BYTES = 32 << 20
 _ENTRY_BYTES = 180
 _LONGEST_KEPT = 64
 _JOINED = 2_000

@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from samples import LONG, MESSY, SF, documents
-from lodestat.llm import packing
+from lodestat.llm import common, packing
 from lodestat.llm.queries import QUERIES
 from lodestat.llm.tokens import WordIds
 
@@ -164,3 +164,12 @@ def test_words_with_signs_reduce_to_others(tokenizer, monkeypatch):
 @pytest.mark.parametrize("text", ["Aİ| sİ.", "É!! é\u0301.. e\u0301, ª. ǀ!", "'s. x's, y'T.", "a<|. <|endoftext|>. b<|endoftext|>!", "½. 1, 本. ×. ſ!", "= a. =\u0338, "])
 def test_signs_behind_odd_letters(tokenizer, text):
     assert WordIds(FILE).encode([text.encode()])[0] == _ids(tokenizer, text)[:-1].tobytes()
+
+
+def test_packing_takes_small_batches_and_gives_arrow_memory_back(spark, small, monkeypatch):
+    given = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: given.append(1)})())
+    assert list(common.giving_back(iter)([1, 2])) == [1, 2] and given == [1]
+    monkeypatch.undo()
+    packing.pack(small, FILE)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == packing._BATCH < common.BATCH_BYTES
