@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lodestat.session import settle
+from lodestat.session import scratch_tables, settle_outside, settle_table
 
 
 def _nearest(links: DataFrame) -> DataFrame:
@@ -12,6 +12,13 @@ def _nearest(links: DataFrame) -> DataFrame:
     return links.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one link to a smaller one, or only links to larger ones."""
+    ends = links.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                         F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, comp)`` for every node of ``edges (a, b)``: the smallest node that it reaches.
 
@@ -20,19 +27,17 @@ def components(edges: DataFrame) -> DataFrame:
     round is kept on reliable storage; a node with many neighbours is only ever
     aggregated or joined, never gathered.
     """
-    links = settle(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
-    while True:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (both.join(_nearest(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = _nearest(large)
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        links = settle(small)
-        # Ids reach far up in 64 bits, so sums of them would overflow.
-        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", F.lit(1), "u"))).first()
-        if now == seen:
-            break
-        seen = now
+    with scratch_tables(edges.sparkSession):
+        links = settle_table(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+        while True:
+            both = links.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+            # Repeated links are left to the small step, since each link makes one of them at most.
+            large = both.join(_nearest(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            small = large.join(_nearest(large), "u").select(
+                F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))))
+            links = settle_table(small.filter("u <> v").distinct())
+            if _stars(links):
+                break
+        links = settle_outside(links)
     return (links.select(F.col("u").alias("node"), F.col("v").alias("comp"))
             .unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct())

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from lodestat.llm.common import WordHashes, in_batches, mixed, row_key, slabs, with_decision
 from lodestat.llm.components import components
 from lodestat.operators.sizing import broadcast_checked
-from lodestat.session import settle_table
+from lodestat.session import scratch_tables, settle_outside, settle_table
 
 BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
@@ -133,7 +133,7 @@ class _Search:
         pairs = classes.select("node", "n", "code").transform(in_batches, _bands, "node bigint, n bigint, key bigint")
         common = pairs.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
         self.shared = settle_table(pairs.join(common, "key"))
-        self.tested = self.links = None
+        self.tested = self.links = self.known = None
 
     def promising(self, pairs: DataFrame) -> DataFrame:
         """The pairs that their registers don't rule out, with the sizes of both sets."""
@@ -181,23 +181,27 @@ class _Search:
     def labels(self) -> DataFrame:
         """``(node, comp)`` of all nodes that share a band."""
         nodes = self.shared.select("node").distinct()
-        if self.links is None:
+        if self.links is not None:
+            # Earlier components stand for the links that made them, so that few rounds are left.
+            tied = self.links if self.known is None else self.links.unionByName(self.known.select(F.col("node").alias("a"), F.col("comp").alias("b")))
+            self.known, self.links = settle_table(components(tied)), None
+        if self.known is None:
             return nodes.withColumn("comp", F.col("node"))
-        known = settle_table(components(self.links))
-        return nodes.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        return nodes.join(self.known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+    def untested(self, pairs: DataFrame) -> DataFrame:
+        return pairs if self.tested is None else pairs.join(self.tested, ["a", "b"], "left_anti")
 
     def take(self, pairs: DataFrame, sets: DataFrame | None = None) -> bool:
-        """Verify pairs that were not tested before; false if there are none. Without given sets, registers come first."""
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = settle_table(pairs)
+        """Verify stored pairs that were not tested before; false if there are none. Without given sets, registers come first."""
         if pairs.isEmpty():
             return False
-        near = pairs
-        if sets is None:
-            near = self.promising(pairs)
-            sets = self.sets_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct())
-        links = settle_table(self.verified(near, sets))
+        with scratch_tables(pairs.sparkSession):
+            near = pairs
+            if sets is None:
+                near = self.promising(pairs)
+                sets = self.sets_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct())
+            links = settle_outside(self.verified(near, sets))
         pairs = pairs.select("a", "b")
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         self.links = links if self.links is None else self.links.unionByName(links)
@@ -211,20 +215,25 @@ class _Search:
         members of different components that share a band; ``across`` finds all their links.
         """
         for i in range(ROUNDS):
-            labelled = settle_table(self.shared.join(self.labels(), "node"))
-            pivots = (labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                                  F.min_by(F.struct("node", "comp", "n"), F.xxhash64("node", F.lit(i))).alias("p"))
-                      .filter("low <> high").select("key", F.col("p.node").alias("p_node"), F.col("p.comp").alias("p_comp"), F.col("p.n").alias("p_n")))
-            pairs = labelled.join(pivots, "key").filter(
-                (F.col("comp") != F.col("p_comp")) & (F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * self.percent)).select(
-                F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
+            tied = self.labels()
+            with scratch_tables(tied.sparkSession):
+                labelled = settle_table(self.shared.join(tied, "node"))
+                pivots = (labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                                      F.min_by(F.struct("node", "comp", "n"), F.xxhash64("node", F.lit(i))).alias("p"))
+                          .filter("low <> high").select("key", F.col("p.node").alias("p_node"), F.col("p.comp").alias("p_comp"), F.col("p.n").alias("p_n")))
+                pairs = labelled.join(pivots, "key").filter(
+                    (F.col("comp") != F.col("p_comp")) & (F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * self.percent)).select(
+                    F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
+                pairs = settle_outside(self.untested(pairs))
             if not self.take(pairs):
                 return self.labels()
-        labelled = settle_table(self.shared.join(self.labels(), "node"))
-        mixed_ = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
-        members = settle_table(labelled.join(mixed_, "key", "left_semi").select("node", "n", "comp").distinct())
+        tied = self.labels()
+        with scratch_tables(tied.sparkSession):
+            labelled = settle_table(self.shared.join(tied, "node"))
+            mixed_ = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
+            members = settle_outside(labelled.join(mixed_, "key", "left_semi").select("node", "n", "comp").distinct())
         sets = self.sets_of(members.select("node"))
-        self.take(self.across(members, sets), sets)
+        self.take(settle_table(self.untested(self.across(members, sets))), sets)
         return self.labels()
 
 
@@ -250,7 +259,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     classes = settle_table(rows.filter("n > 0").groupBy("n", "set_id").agg(
         F.min("k_id").alias("min_id"), F.min(F.struct("k_id", "k_sha")).alias("rep"), F.first("code").alias("code"))
         .withColumn("node", F.monotonically_increasing_id()))
-    labels = settle_table(_Search(keyed, classes, size, percent).run())
+    with scratch_tables(docs.sparkSession):
+        labels = settle_outside(_Search(keyed, classes, size, percent).run())
     tied = classes.select("node", "n", "set_id", "min_id").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = tied.groupBy("comp").agg(F.min("min_id").alias("component_id"))
     named = tied.join(lowest, "comp").select("set_id", "n", "component_id", F.col("comp").alias("component"))
@@ -266,8 +276,9 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     All columns stay. Texts without shingles stay all. A null id is smaller than any
     other; fully repeated rows stay or go together.
     """
-    found = settle_table(near_duplicates(docs, key, text, size, percent).filter("component is not null")
-                         .select("component", F.col("doc_id").alias("k_id"), "k_sha"))
+    with scratch_tables(docs.sparkSession):
+        found = settle_outside(near_duplicates(docs, key, text, size, percent).filter("component is not null")
+                               .select("component", F.col("doc_id").alias("k_id"), "k_sha"))
     first = found.groupBy("component").agg(F.min(F.struct("k_id", "k_sha")).alias("one"))
     gone = found.join(first, "component").filter(~(F.col("k_id").eqNullSafe(F.col("one.k_id")) & (F.col("k_sha") == F.col("one.k_sha"))))
     return with_decision(docs, gone, "left_anti", key, text)

@@ -57,17 +57,27 @@ def settle_table(df: DataFrame) -> DataFrame:
     """Write ``df`` once as parquet next to the checkpoints and read it back.
 
     For wide tables read many times: later scans prune columns and push filters,
-    which a checkpointed DataFrame cannot.
+    which a checkpointed DataFrame cannot. The shuffle files of the write go with it,
+    since nothing reads them again.
     """
     spark = df.sparkSession
     use_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     if _OPEN_SCOPES:
         _OPEN_SCOPES[-1].append(path)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Tables of the scopes that are open, the innermost last.
 _OPEN_SCOPES: list[list[str]] = []
 
@@ -83,7 +93,8 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _OPEN_SCOPES.remove(made)
+        # By place, since another open scope's list may be equal.
+        del _OPEN_SCOPES[next(i for i, held in enumerate(_OPEN_SCOPES) if held is made)]
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for path in made:
             place = jvm.org.apache.hadoop.fs.Path(path)

@@ -1,6 +1,7 @@
 """Near duplicates, repeated substrings and benchmark passages against brute force."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ import pytest
 
 from samples import MESSY, documents
 from lodestat.llm import anchors, components, decontaminate, neardup, passages, substrings
+from lodestat.session import scratch_tables, settle_table, use_checkpoint_dir
 
 
 def _sets(rows, size):
@@ -261,3 +263,28 @@ def test_word_hashes_tell_words_apart(monkeypatch, group):
         for w, h in zip(body.split(), found.tolist(), strict=True):
             assert words.setdefault(w, h) == h and hashes.setdefault(h, w) == w
     assert any(len(w) > 2 * passages._LONG for w in words)
+
+
+def test_only_wanted_tables_of_near_duplicates_stay(spark):
+    use_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    tables = lambda: {p for p in os.listdir(folder) if p.startswith("table-")}
+    text = " ".join(map(str, range(60)))
+    rows, before = documents(spark, [(1, text), (2, text + " a"), (3, "b c d e f g"), (4, None)]), tables()
+    left = neardup.drop_near_duplicates(rows)
+    assert len(tables() - before) == 1 and sorted(r.doc_id for r in left.collect()) == [1, 3, 4]
+
+
+def test_an_inner_scope_leaves_an_equal_outer_one_open(spark):
+    with scratch_tables(spark):
+        with scratch_tables(spark):
+            pass
+        path = settle_table(spark.range(3)).inputFiles()[0].removeprefix("file:")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+
+def test_rounds_of_components_end_at_stars(spark):
+    frame = lambda links: spark.createDataFrame(links, "u long, v long")
+    assert components._stars(frame([(2, 1), (3, 1), (5, 4)])) and components._stars(frame([]))
+    assert not components._stars(frame([(3, 2), (2, 1)])) and not components._stars(frame([(3, 2), (3, 1)]))
