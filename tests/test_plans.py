@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lodestat.plans import listings as pl
+from lodestat.plans import listings as pl, pricing
 from lodestat.plans.catalog import QUERIES, long_tables
 from lodestat.sources.fixtures import view
 
@@ -76,3 +76,21 @@ def test_long_tables_digest_a_row_once(spark, capsys):
     assert any("sha2" in line for line in lines[at:]) and not any("sha2" in line for line in lines[:at])
     got = out.collect()
     assert len(got) == 9 and {(r["column"], r["value"]) for r in got if r["column"] == "x"} == {("x", "0.0"), ("x", "0.333333"), ("x", "0.666667")}
+
+
+def test_the_registered_price_models_search_the_whole_grid(spark, monkeypatch):
+    """All 48 combinations over 5 folds, and the other searches at their defaults."""
+    scores = ("rmse_log", "mae_log", "r2_log", "rmse_real", "mae_real", "r2_real")
+    df, asked = spark.createDataFrame([tuple(1.0 for _ in scores)], list(scores)), []
+
+    def no_training(train, test, trials, key="id", folds=3, max_epochs=300, seed=42, rungs=None):
+        asked.append((len(trials), len(set(trials.values())), folds, max_epochs, rungs))
+        return pricing.PriceModel(trials[0], None, df, None, 0.0)
+
+    monkeypatch.setattr(pl, "enrich_listings", lambda *parts: df)
+    monkeypatch.setattr(pl, "cleanse_for_model", lambda enriched: enriched)
+    monkeypatch.setattr(pricing, "encoded_sides", lambda *args, **kwargs: (df, df))
+    monkeypatch.setattr(pricing, "search_and_refit", no_training)
+    assert QUERIES["price_model_run"](spark, SF).count() == 3
+    assert asked[1] == (48, 48, 5, 300, None)
+    assert [(a[0], *a[2:]) for a in (asked[0], asked[2])] == [(10, 3, 300, None), (20, 4, 200, [10, 20, 40, 80, 160])]
